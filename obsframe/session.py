@@ -25,6 +25,7 @@ def local_session(cores: int | str = 8, app: str = "obsframe") -> SparkSession:
         .appName(app)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
