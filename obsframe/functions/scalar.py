@@ -26,8 +26,12 @@ def truncate(ts: str, unit: str) -> Column:
     return F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
 
 
+def epoch_seconds_of(ts: Column) -> Column:
+    return F.unix_seconds(ts.cast("timestamp"))
+
+
 def epoch_seconds(ts: str) -> Column:
-    return F.unix_seconds(F.col(ts).cast("timestamp"))
+    return epoch_seconds_of(F.col(ts))
 
 
 def epoch_micros(ts: str) -> Column:

@@ -1,6 +1,6 @@
 """Importing a family registers its queries."""
 
-from obsframe.plans import basics, profiles
+from obsframe.plans import basics, profiles, series
 from obsframe.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
