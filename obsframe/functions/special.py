@@ -8,8 +8,10 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _N01 = NormalDist()
+DOUBLE = DoubleType()
 
 
 def beta_fraction(a: float, b: float, x: float) -> float:
@@ -80,31 +82,31 @@ def _per_row(fn, *cols: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return _per_row(t_two_sided_value, t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
     return _per_row(t_quantile_value, p, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def f_upper(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _per_row(f_upper_value, f, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def normal_two_sided(z: pd.Series) -> pd.Series:
     return _per_row(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def normal_upper(z: pd.Series) -> pd.Series:
     return _per_row(lambda v: normal_cdf_value(-v), z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def normal_quantile(p: pd.Series) -> pd.Series:
     return _per_row(normal_quantile_value, p)
