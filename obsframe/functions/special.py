@@ -55,6 +55,31 @@ def f_upper_value(f: float, d1: float, d2: float) -> float:
     return beta_inc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f)) if f > 0 else 1.0
 
 
+def chi2_cdf_value(x: float, df: float) -> float:
+    """Series of the regularised lower incomplete gamma function."""
+    a, half = df / 2.0, x / 2.0
+    if half <= 0:
+        return 0.0
+    term = total = 1.0 / a
+    k = a
+    while term > total * 1e-16:
+        k += 1.0
+        term *= half / k
+        total += term
+    return total * math.exp(-half + a * math.log(half) - math.lgamma(a))
+
+
+def chi2_quantile_value(p: float, df: float) -> float:
+    lo, hi = 0.0, 10.0 * df + 100.0
+    for _ in range(200):
+        mid = 0.5 * (lo + hi)
+        if chi2_cdf_value(mid, df) < p:
+            lo = mid
+        else:
+            hi = mid
+    return 0.5 * (lo + hi)
+
+
 def normal_cdf_value(z: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2.0))
 

@@ -20,10 +20,22 @@ def fields(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def gram(df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str]) -> DataFrame:
-    """Sum of v vᵀ per key as a flat array, for the vector expression v of each row.
+    """Sum of v vᵀ per key as a flat array ``g``, for the vector expression v of each row."""
+    return summed(df, key, vector, row, lambda x: (x.T @ x).ravel()).drop("n").withColumnRenamed("s", "g")
+
+
+def vector_sum(df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str]) -> DataFrame:
+    """Sum ``s`` of a vector expression per key, and the number ``n`` of rows."""
+    return summed(df, key, vector, row, lambda x: x.sum(axis=0))
+
+
+def summed(
+    df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str], part: Callable[[np.ndarray], np.ndarray]
+) -> DataFrame:
+    """Add up ``part(matrix of rows)`` per key.
 
     Keys beyond the group limit are split by a hash of the ``row`` columns; the
-    partial matrices are then summed in steps. The vector is built after the
+    partial sums are then added in steps. The vector is built after the
     shuffle, so that only the columns it reads are moved.
     """
     key = list(key)
@@ -38,9 +50,10 @@ def gram(df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str])
 
     def partial(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["__v"].to_numpy())
-        return one_row(pdf, group, {"g": (x.T @ x).ravel()})
+        return one_row(pdf, group, {"s": part(x), "n": len(x)})
 
-    out = placed.groupBy(*group).applyInPandas(partial, ", ".join([*fields(placed, group), "g array<double>"]))
+    shape = "s array<double>, n bigint"
+    out = placed.groupBy(*group).applyInPandas(partial, ", ".join([*fields(placed, group), shape]))
     parts = -(-largest // limit)
     while parts > 1:
         parts = -(-parts // FAN_IN)
@@ -48,9 +61,9 @@ def gram(df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str])
         by = group if parts > 1 else key
 
         def total(pdf: pd.DataFrame, by=tuple(by)) -> pd.DataFrame:
-            return one_row(pdf, by, {"g": np.sum(np.stack(pdf["g"].to_numpy()), axis=0)})
+            return one_row(pdf, by, {"s": np.sum(np.stack(pdf["s"].to_numpy()), axis=0), "n": int(pdf["n"].sum())})
 
-        out = out.groupBy(*by).applyInPandas(total, ", ".join([*fields(out, by), "g array<double>"]))
+        out = out.groupBy(*by).applyInPandas(total, ", ".join([*fields(out, by), shape]))
     return out
 
 

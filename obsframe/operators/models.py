@@ -254,7 +254,7 @@ class TreeModel:
 
     MEMORY = max(X.FORECAST_LAGS)
 
-    def __init__(self, name: str, estimator: Callable, holdout: float = 0.8, cut_every: int = 6):
+    def __init__(self, name: str, estimator: Callable, holdout: float = 0.8, cut_every: int = 1):
         self.name, self.estimator, self.holdout, self.cut_every = name, estimator, holdout, cut_every
 
     def inputs(self) -> list[str]:
@@ -306,14 +306,17 @@ class TreeModel:
         b = self.b
         keep = [*b.key, "memory", "last_ts", "spacing", "key_level", "resid_std", "path"]
         state = self.state.withColumn("path", F.array().cast("array<double>"))
+        # the step is read off the path, so that every round has the same plan and
+        # the code generated for the first one serves them all
+        at = S.epoch_seconds("last_ts") + (F.size("path") + 1) * F.col("spacing")
+        ts = F.timestamp_seconds(at).cast("timestamp_ntz")
+        value = F.array("prediction")
+        longer = F.slice(F.concat("memory", value), 2, self.MEMORY)
         for step in range(1, steps + 1):
-            ts = F.timestamp_seconds(S.epoch_seconds("last_ts") + step * F.col("spacing")).cast("timestamp_ntz")
             rows = state.withColumn("__ts", ts)
-            rows = rows.withColumns(self.features()).withColumns(X.calendar_features("__ts"))
+            rows = rows.withColumns(self.features() | X.calendar_features("__ts"))
             rows = self.model.transform(self.assemble(rows))
-            value = F.array("prediction")
-            state = rows.withColumn("memory", F.slice(F.concat("memory", value), 2, self.MEMORY))
-            state = state.withColumn("path", F.concat("path", value)).select(*keep)
+            state = rows.withColumns({"memory": longer, "path": F.concat("path", value)}).select(*keep)
             if step % self.cut_every == 0:
                 state = cut(state)
         out = state.select("*", F.posexplode("path").alias("__i", "forecast")).withColumn("step", F.col("__i") + 1)
