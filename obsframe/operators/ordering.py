@@ -91,9 +91,21 @@ def over_order(
         return df.select("*", *build(W.partitionBy(*key).orderBy(*order)))
     placed = positions(df, key, order, "__pos")
     width = max(group_rows(df.sparkSession), before, after, 1)
-    within = F.col("__pos") % width
-    own = F.floor(F.col("__pos") / width)
-    chunks = F.filter(
+    copies = chunked(placed, "__pos", width, before, after)
+    w = W.partitionBy(*key, "__chunk").orderBy("__pos")
+    return (
+        copies.select("*", *build(w))
+        .where(F.col("__chunk") == F.col("__own"))
+        .drop("__pos", "__own", "__chunk")
+    )
+
+
+def chunked(placed: DataFrame, pos: str, width: int, before: int, after: int) -> DataFrame:
+    """Cut numbered rows into chunks (``__chunk``) of ``width``, each with copies of the
+    ``before`` rows ahead of it and the ``after`` rows behind it; ``__own`` is a row's home."""
+    within = F.col(pos) % width
+    own = F.floor(F.col(pos) / width)
+    homes = F.filter(
         F.array(
             own,
             F.when(within >= width - before, own + 1),
@@ -101,13 +113,7 @@ def over_order(
         ),
         lambda c: c.isNotNull(),
     )
-    copies = placed.withColumn("__own", own).withColumn("__chunk", F.explode(chunks))
-    w = W.partitionBy(*key, "__chunk").orderBy("__pos")
-    return (
-        copies.select("*", *build(w))
-        .where(F.col("__chunk") == F.col("__own"))
-        .drop("__pos", "__own", "__chunk")
-    )
+    return placed.withColumn("__own", own).withColumn("__chunk", F.explode(homes))
 
 
 def quantiles(

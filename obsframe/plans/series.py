@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from obsframe.binding import Binding
 from obsframe.operators import resample as R
 from obsframe.operators import windows as X
+from obsframe.operators.stl import stl as decompose_stl
 from obsframe.plans.basics import CYCLE_SQL
 from obsframe.plans.registry import EVENTS, query, rounded, table
 
@@ -167,6 +168,16 @@ def decompose_multiplicative(spark, sf_dir):
     return rounded(R.decompose(hourly(spark, sf_dir), EVENTS, model="multiplicative"), 10)
 
 
+@query("stl")
+def stl(spark, sf_dir):
+    return decompose_stl(hourly(spark, sf_dir), EVENTS)
+
+
+@query("stl_strength")
+def stl_strength(spark, sf_dir):
+    return R.component_strength(decompose_stl(hourly(spark, sf_dir), EVENTS), EVENTS)
+
+
 def strength_label(c: str) -> str:
     return f"CASE WHEN {c} > 0.6 THEN 'strong' WHEN {c} > 0.3 THEN 'moderate' ELSE 'weak' END"
 
