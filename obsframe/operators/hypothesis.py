@@ -195,7 +195,7 @@ def shapiro(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     weight = F.signum("m") * F.coalesce(size, middle)
     off = F.col("x") - F.col("centre")
     w = rows.groupBy(*key).agg(F.try_divide(F.pow(F.sum(weight * off), 2), F.sum(off * off)).alias("w"))
-    out = link(sizes, w, tuple(key)).withColumn("w", F.least("w", F.lit(1.0)))
+    out = link(sizes, w, tuple(key)).withColumn("w", F.when(F.col("w") > 1, 1.0).otherwise(F.col("w")))
     log_n = F.log(n)
     tail = F.log1p(-F.when(F.col("w") < 1, F.col("w")))
     z_small = (-F.log(poly(n, SMALL_GAMMA) - tail) - poly(n, SMALL_MEAN)) / F.exp(poly(n, SMALL_LOG_SD))

@@ -59,12 +59,15 @@ def summed(
         parts = -(-parts // FAN_IN)
         out = out.withColumn("__salt", F.floor(F.col("__salt") / FAN_IN))
         by = group if parts > 1 else key
+        out = out.groupBy(*by).applyInPandas(adder(tuple(by)), ", ".join([*fields(out, by), shape]))
+    return out
 
-        def total(pdf: pd.DataFrame, by=tuple(by)) -> pd.DataFrame:
-            return one_row(pdf, by, {"s": np.sum(np.stack(pdf["s"].to_numpy()), axis=0), "n": int(pdf["n"].sum())})
 
-        out = out.groupBy(*by).applyInPandas(total, ", ".join([*fields(out, by), shape]))
-    return out
+def adder(by: Sequence[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        return one_row(pdf, by, {"s": np.sum(np.stack(pdf["s"].to_numpy()), axis=0), "n": int(pdf["n"].sum())})
+
+    return total
 
 
 def one_row(pdf: pd.DataFrame, keys: Sequence[str], values: dict) -> pd.DataFrame:

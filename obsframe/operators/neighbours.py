@@ -103,7 +103,7 @@ def edges_frame(head: dict, pid: np.ndarray, member: np.ndarray, found) -> pd.Da
     cat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
     out = pd.DataFrame({"pid": cat(p, "int64"), "qid": cat(q, "int64"), "d": cat(d, "float64"), "qw": cat(w, "int64")})
     for i, (name, value) in enumerate(head.items()):
-        out.insert(i, name, [value] * len(out))
+        out.insert(i, name, pd.Series([value] * len(out), dtype=object))
     return out
 
 

@@ -107,7 +107,8 @@ def component_strength(parts: DataFrame, b: Binding) -> DataFrame:
 
     def strength(component: str):
         whole = F.var_samp(F.when(known, F.col(component) + F.col("resid")))
-        return F.greatest(F.lit(0.0), 1 - F.try_divide(F.var_samp(r), whole))
+        share = 1 - F.try_divide(F.var_samp(r), whole)
+        return F.when(share < 0, 0.0).otherwise(share)
 
     has = F.col("trend").isNotNull()
     out = parts.groupBy(*b.key).agg(

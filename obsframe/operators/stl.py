@@ -46,7 +46,8 @@ def loess(y: np.ndarray, weight: np.ndarray, q: int, at: np.ndarray) -> np.ndarr
         w = w / safe
         centre = (w * idx).sum(axis=1, keepdims=True)
         spread = (w * (idx - centre) ** 2).sum(axis=1, keepdims=True)
-        tilt = np.where(np.sqrt(spread) > 0.001 * (n - 1), (x0 - centre) / np.where(spread > 0, spread, 1.0), 0.0)
+        # a fit without spread has no slope; judged within the span, whatever the series length
+        tilt = np.where(np.sqrt(spread) > 0.001 * size, (x0 - centre) / np.where(spread > 0, spread, 1.0), 0.0)
         fit = (w * (1 + tilt * (idx - centre)) * y[idx]).sum(axis=1)
         near = y[np.clip(at[start : start + BLOCK], 0, n - 1)]
         out[start : start + BLOCK] = np.where(total[:, 0] > 0, fit, near)

@@ -133,7 +133,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_table(spark: SparkSession, path: str, schema: T.StructType = OBSERVATIONS) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    # partition columns come last in the folder layout
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = OBSERVATIONS) -> DataFrame:

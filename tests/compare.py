@@ -20,19 +20,25 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def cell(v):
-    if isinstance(v, bool):
-        return str(v)
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(v)
     return str(v)
 
 
-def rows_of(names, rows):
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted(tuple(cell(r[i]) for i in order) for r in rows)
+def close(a, b) -> bool:
+    """Floats may differ by one unit of the rounding that the queries apply."""
+    if isinstance(a, float) and isinstance(b, float):
+        return a == b or math.isclose(a, b, rel_tol=1e-7, abs_tol=2e-6)
+    return cell(a) == cell(b)
 
 
-def compare(df, con, sql: str) -> str | None:
+def rows_of(names, rows, floats):
+    """Rows with columns by name, ordered by their non-float columns first."""
+    order = sorted(range(len(names)), key=lambda i: (names[i] in floats, names[i]))
+    return sorted((tuple(r[i] for i in order) for r in rows), key=lambda r: [cell(v) for v in r])
+
+
+def compare(df, con, sql: str, exact: bool = True) -> str | None:
     """None when equal, else a short account of the first difference."""
     got_names = df.columns
     got = [tuple(r) for r in df.collect()]
@@ -46,8 +52,10 @@ def compare(df, con, sql: str) -> str | None:
         return f"rows {len(got)} != {len(want)}"
     if any("DECIMAL" in k or "HUGEINT" in k for k in kinds.values()):
         return f"oracle types {kinds}"
-    a, b = rows_of(got_names, got), rows_of(want_names, want)
-    for x, y in zip(a, b):
-        if x != y:
-            return f"{sum(p != q for p, q in zip(a, b))} of {len(a)} rows differ, first {x} != {y}"
+    floats = {n for n, k in kinds.items() if k in ("DOUBLE", "FLOAT")}
+    pairs = zip(rows_of(got_names, got, floats), rows_of(want_names, want, floats))
+    same = (lambda x, y: cell(x) == cell(y)) if exact else close
+    bad = [(x, y) for x, y in pairs if not all(same(p, q) for p, q in zip(x, y))]
+    if bad:
+        return f"{len(bad)} of {len(got)} rows differ, first {bad[0][0]} != {bad[0][1]}"
     return None
