@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsframe.binding import Binding
-from obsframe.operators.ordering import numbered, over_order
+from obsframe.operators.ordering import numbered, over_order, same_rows
 from obsframe.session import attach, link
 
 METRICS = ("mae", "rmse", "mape", "smape", "r2", "bias")
@@ -128,7 +128,7 @@ def dynamic(
     Weights follow the RMSE over the last ``window`` rows and are renewed every
     ``every`` rows; before the first renewal all models weigh the same.
     """
-    complete = wide.dropna(subset=[actual, *models])
+    complete = same_rows(wide, wide.dropna(subset=[actual, *models]))
     placed = numbered(complete, b.key, b.order, "position")
     phase = F.col("position") % every
 

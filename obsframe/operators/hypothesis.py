@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from obsframe.binding import Binding
 from obsframe.functions import scalar as S
 from obsframe.functions import special
-from obsframe.operators.ordering import average_rank, numbered, over_order, quantiles
+from obsframe.operators.ordering import average_rank, numbered, over_order, quantiles, same_rows
 from obsframe.session import attach, bounded, cut, link
 
 ALPHA = 0.05
@@ -75,9 +75,9 @@ def linear_trend(df: DataFrame, b: Binding, practical: float = 0.01) -> DataFram
 def trend_residuals(df: DataFrame, b: Binding) -> DataFrame:
     """Rows with ``residual`` from the key's trend line, ``position`` and the series length ``n``."""
     rows, fit = linear_fit(df, b)
-    rows = attach(rows, fit.select(*b.key, "n", "slope", "intercept"), b.key)
+    placed, rows = rows, attach(rows, fit.select(*b.key, "n", "slope", "intercept"), b.key)
     line = F.col("intercept") + F.col("slope") * F.col("position")
-    return rows.withColumn("residual", F.col(b.value) - line).drop("slope", "intercept")
+    return same_rows(placed, rows.withColumn("residual", F.col(b.value) - line).drop("slope", "intercept"))
 
 
 def durbin_watson(residuals: DataFrame, b: Binding, column: str = "residual") -> DataFrame:
@@ -90,7 +90,7 @@ def durbin_watson(residuals: DataFrame, b: Binding, column: str = "residual") ->
 
 def residual_diagnostics(residuals: DataFrame, b: Binding, column: str = "residual") -> DataFrame:
     """Zero mean and lag-1 correlation of residuals; null below three."""
-    rows = residuals.where(F.col(column).isNotNull())
+    rows = same_rows(residuals, residuals.where(F.col(column).isNotNull()))
     lagged = over_order(rows, b.key, b.order, lambda w: [F.lag(column).over(w).alias("__prev")], before=1)
     out = lagged.groupBy(*b.key).agg(
         F.count(column).alias("n"),

@@ -19,7 +19,7 @@ from obsframe.operators import evaluate as E
 from obsframe.operators import filters
 from obsframe.operators import windows as X
 from obsframe.operators.least_squares import dot, gram, ols, solve_rows, square
-from obsframe.operators.ordering import numbered, over_order
+from obsframe.operators.ordering import numbered, over_order, same_rows
 from obsframe.operators.resample import future_grid, spacing
 from obsframe.operators.stationarity import adf
 from obsframe.session import attach, cut, link
@@ -149,8 +149,9 @@ class ArimaModel:
             test = adf(known, g).select(*b.key, F.when(F.col("is_stationary"), 0).otherwise(1).alias("d"))
             rows = attach(rows, test, b.key)
         rows = over_order(rows, b.key, ("t",), lambda w: [F.lag("y").over(w).alias("__y1")], before=1)
+        sized = rows
         change = F.when(F.col("d") == 0, F.col("y")).otherwise(F.col("y") - F.col("__y1"))
-        rows = cut(rows.withColumn("z", change).where(F.col("z").isNotNull()).drop("__y1"))
+        rows = same_rows(sized, cut(rows.withColumn("z", change).where(F.col("z").isNotNull()).drop("__y1")))
 
         def long_lags(w):
             past = [F.lag("z", i).over(w) for i in range(1, m + 1)]
@@ -158,7 +159,7 @@ class ArimaModel:
 
         # stage one: a long autoregression whose residuals stand in for the shocks
         lagged = over_order(rows, b.key, ("t",), long_lags, before=m)
-        lagged = cut(lagged.where(F.col("t") >= m + F.col("d")))
+        lagged = same_rows(sized, cut(lagged.where(F.col("t") >= m + F.col("d"))))
         sums = gram(lagged, b.key, F.concat("__x", F.array("z")), ("t",))
 
         def autoregress(r: dict):
@@ -168,7 +169,7 @@ class ArimaModel:
 
         ar = solve_rows(sums, b.key, autoregress, "a array<double>")
         shocks = attach(lagged, ar, b.key)
-        shocks = shocks.withColumn("e", F.col("z") - dot("a", F.col("__x"))).drop("a", "__x")
+        shocks = same_rows(sized, shocks.withColumn("e", F.col("z") - dot("a", F.col("__x"))).drop("a", "__x"))
 
         # stage two: every (p, q) is a subset of the same five regressors
         def short_lags(w):
@@ -177,7 +178,7 @@ class ArimaModel:
             return [F.array(F.lit(1.0), z, z2, e, e2, F.col("z")).alias("__x")]
 
         paired = cut(over_order(shocks, b.key, ("t",), short_lags, before=2))
-        full = paired.where(F.forall("__x", lambda x: x.isNotNull()))
+        full = same_rows(sized, paired.where(F.forall("__x", lambda x: x.isNotNull())))
         sums = gram(full, b.key, F.col("__x"), ("t",))
         state = F.struct("z", F.element_at("__x", 2).alias("z1"), "e", F.element_at("__x", 4).alias("e1"), "y")
         last = full.groupBy(*b.key).agg(

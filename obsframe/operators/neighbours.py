@@ -74,11 +74,24 @@ def nearest(x: np.ndarray, m: np.ndarray, w: np.ndarray, k: int, own: np.ndarray
         for j in range(m.shape[1]):
             sq += (part[:, j, None] - m[None, :, j]) ** 2
         dist = np.sqrt(sq)
+        lone = None
+        if own is not None:
+            lone = own[start : start + len(part)]
+            if k < len(m) and (w == 1).all():
+                # no copies: the k nearest of all rows of the block at once
+                dist[np.arange(len(part)), lone] = np.inf
+                edge = np.partition(dist, k - 1, axis=1)[:, k - 1]
+                row, member = np.nonzero(dist <= edge[:, None])
+                ends = np.cumsum(np.bincount(row, minlength=len(part)))
+                for i, (at, end) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends)):
+                    near = member[at:end]
+                    yield start + i, near, dist[i, near], w[near]
+                continue
         for i in range(len(part)):
             weight = w
-            if own is not None:
+            if lone is not None:
                 weight = w.copy()
-                weight[own[start + i]] -= 1
+                weight[lone[i]] -= 1
             d = dist[i]
             near = np.flatnonzero(weight > 0) if reach is None else np.flatnonzero((weight > 0) & (d <= reach[start + i]))
             if len(near) > 4 * k:
@@ -117,11 +130,29 @@ def box_gap(lo: str, hi: str, other_lo: str, other_hi: str) -> Column:
     return F.aggregate(gap, F.lit(0.0), lambda s, g: s + g * g)
 
 
-def neighbours(points: DataFrame, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
+def whole_key_factor(points: DataFrame, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
+    """The factor of every point where each key is one cell: no edge leaves its task."""
+    key, dims = list(key), list(dims)
+
+    def factor(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, w = pdf[dims].to_numpy(dtype=float), pdf["w"].to_numpy()
+        pid = np.arange(len(x))
+        e = edges_frame({}, pid, pid, nearest(x, x, w, k, pid, None))
+        p, q, d, qw = (e[c].to_numpy() for c in ("pid", "qid", "d", "qw"))
+        reach = np.zeros(len(x))
+        np.maximum.at(reach, p, d)
+        weight = np.bincount(p, qw, len(x))
+        # the small constant keeps the density of a pile of copies finite
+        density = 1 / (np.bincount(p, qw * np.maximum(d, reach[q]), len(x)) / weight + 1e-10)
+        around = np.bincount(p, qw * density[q], len(x)) / weight
+        return pdf[[*key, *dims]].assign(lof=around / density)
+
+    return points.groupBy(*key).applyInPandas(factor, ", ".join([*fields(points, [*key, *dims]), "lof double"]))
+
+
+def neighbours(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
     """Edges (pid, qid, d, qw) to every neighbour within the k-th distance, ties included."""
     key, dims = list(key), list(dims)
-    points, depth = cells(points, key, dims)
-    points = cut(points)
     schema = ", ".join([*fields(points, key), "pid bigint, qid bigint, d double, qw bigint"])
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -131,8 +162,6 @@ def neighbours(points: DataFrame, key: Sequence[str], dims: Sequence[str], k: in
         return edges_frame(head, pid, pid, nearest(x, x, w, k, np.arange(len(x)), None))
 
     local = points.groupBy(*key, "cell").applyInPandas(inside, schema)
-    if depth == 0:
-        return local
     local = cut(local)
     # a point whose cell holds fewer than k others has no bound yet
     reach = local.groupBy(*key, "pid").agg(
@@ -199,11 +228,15 @@ def local_outlier_factor(df: DataFrame, b: Binding, n_neighbors: int = 20, conta
     scaled = cut(impute_scale(rows.select(*key, *b.id, *b.values), b))
     dims = [f"{v}_scaled" for v in b.values]
     points = fold(scaled, key, dims)
-    edges = cut(neighbours(points, key, dims, n_neighbors))
+    points, depth = cells(points, key, dims)
+    if depth == 0:
+        factor = whole_key_factor(points, key, dims, n_neighbors)
+        scored = link(scaled, factor, (*key, *dims), "inner")
+        return contamination_flags(scored.select(*key, *b.id, "lof"), b, "lof", contamination)
+    edges = cut(neighbours(points, depth, key, dims, n_neighbors))
     reach = edges.groupBy(*key, "pid").agg(F.max("d").alias("k_distance"))
     joined = link(edges, reach.withColumnRenamed("pid", "qid"), (*key, "qid"), "inner")
     far = F.greatest("d", "k_distance")
-    # the small constant keeps the density of a pile of copies finite
     density = joined.groupBy(*key, "pid").agg((1 / (F.sum(F.col("qw") * far) / F.sum("qw") + 1e-10)).alias("lrd"))
     density = cut(density)
     joined = link(edges, density.select(*key, F.col("pid").alias("qid"), F.col("lrd").alias("q_lrd")), (*key, "qid"), "inner")

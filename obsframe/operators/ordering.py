@@ -21,10 +21,23 @@ from obsframe.session import attach, cut, group_rows, link
 
 def largest_group(df: DataFrame, key: Sequence[str]) -> int:
     """Row count of the largest key; a column-pruned, map-side combined count."""
+    known = getattr(df, "_largest_group", {})
+    if tuple(key) in known:
+        return known[tuple(key)]
     if not key:
         return df.count()
     row = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return row[0] or 0
+    size = row[0] or 0
+    df._largest_group = {**known, tuple(key): size}
+    return size
+
+
+def same_rows(source: DataFrame, result: DataFrame) -> DataFrame:
+    """Note that ``result`` has no more rows per key than ``source``, whose sizes then need no recount."""
+    known = getattr(source, "_largest_group", {})
+    if known:
+        result._largest_group = {**known}
+    return result
 
 
 def fits_one_task(df: DataFrame, key: Sequence[str]) -> bool:
@@ -71,10 +84,10 @@ def numbered(
 ) -> DataFrame:
     """Like :func:`positions`, by a plain window when every key fits one task."""
     if not fits_one_task(df, key):
-        return positions(df, key, order, name, size)
+        return same_rows(df, positions(df, key, order, name, size))
     w = W.partitionBy(*key)
     out = df.withColumn(name, (F.row_number().over(w.orderBy(*order)) - 1).cast("long"))
-    return out.withColumn(size, F.count(F.lit(1)).over(w)) if size else out
+    return same_rows(df, out.withColumn(size, F.count(F.lit(1)).over(w)) if size else out)
 
 
 def over_order(
@@ -88,16 +101,13 @@ def over_order(
     """Add the columns ``build(window)`` returns; their frames may reach ``before``
     rows back and ``after`` rows ahead, no further."""
     if fits_one_task(df, key):
-        return df.select("*", *build(W.partitionBy(*key).orderBy(*order)))
+        return same_rows(df, df.select("*", *build(W.partitionBy(*key).orderBy(*order))))
     placed = positions(df, key, order, "__pos")
     width = max(group_rows(df.sparkSession), before, after, 1)
     copies = chunked(placed, "__pos", width, before, after)
     w = W.partitionBy(*key, "__chunk").orderBy("__pos")
-    return (
-        copies.select("*", *build(w))
-        .where(F.col("__chunk") == F.col("__own"))
-        .drop("__pos", "__own", "__chunk")
-    )
+    own = copies.select("*", *build(w)).where(F.col("__chunk") == F.col("__own"))
+    return same_rows(df, own.drop("__pos", "__own", "__chunk"))
 
 
 def chunked(placed: DataFrame, pos: str, width: int, before: int, after: int) -> DataFrame:
@@ -129,8 +139,13 @@ def quantiles(
     statistics off a range sort, one per column.
     """
     if fits_one_task(df, key):
-        cols = [F.percentile(c, F.lit(q)).alias(name) for name, (c, q) in wanted.items()]
-        return df.groupBy(*key).agg(*aggs, *cols)
+        columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+        asked = {c: [q for k, q in wanted.values() if k == c] for c in columns}
+        # one buffer per column serves all of its quantiles
+        packed = [F.percentile(c, F.array(*map(F.lit, qs))).alias(f"__p_{c}") for c, qs in asked.items()]
+        picks = [F.col(f"__p_{c}")[asked[c].index(q)].alias(name) for name, (c, q) in wanted.items()]
+        out = df.groupBy(*key).agg(*aggs, *packed)
+        return out.select(*[c for c in out.columns if not c.startswith("__p_")], *picks)
     out = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"), *aggs)
     for column in dict.fromkeys(c for c, _ in wanted.values()):
         qs = {name: q for name, (c, q) in wanted.items() if c == column}
@@ -154,9 +169,10 @@ def average_rank(df: DataFrame, key: Sequence[str], value: str, name: str, desce
     """Rank of ``value`` inside ``key`` from 1, equal values sharing their mean rank."""
     order = F.col(value).desc() if descending else F.col(value).asc()
     if fits_one_task(df, key):
-        ties = F.count(F.lit(1)).over(W.partitionBy(*key, value))
-        rank = F.rank().over(W.partitionBy(*key).orderBy(order))
-        return df.withColumn(name, rank + (ties - 1) / 2.0)
+        w = W.partitionBy(*key).orderBy(order)
+        # a range of no width holds the ties, in the same sort as the rank
+        ties = F.count(F.lit(1)).over(w.rangeBetween(W.currentRow, W.currentRow))
+        return same_rows(df, df.withColumn(name, F.rank().over(w) + (ties - 1) / 2.0))
     signed = df.withColumn("__v", -F.col(value) if descending else F.col(value))
     placed = positions(signed, key, ["__v"], "__pos")
     ranks = placed.groupBy(*key, "__v").agg((F.avg("__pos") + 1).alias(name))

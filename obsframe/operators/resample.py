@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from obsframe.binding import Binding
 from obsframe.functions import scalar as S
 from obsframe.operators.ordering import over_order
-from obsframe.session import attach
+from obsframe.session import attach, cut
 
 HOUR = 3600
 BLOCK = 1024  # slots generated from one array
@@ -56,7 +56,8 @@ def interpolate(slots: DataFrame, b: Binding, seconds: int = HOUR) -> DataFrame:
 
 def regular_series(df: DataFrame, b: Binding, seconds: int = HOUR) -> DataFrame:
     """Resample, then fill: the regular series that decomposition and forecasting take."""
-    return interpolate(resample(df, b, seconds), b, seconds)
+    # the slots are few next to the raw rows, and every later size check reads them
+    return interpolate(cut(resample(df, b, seconds)), b, seconds)
 
 
 def decompose(series: DataFrame, b: Binding, period: int = 24, model: str = "additive", seconds: int = HOUR) -> DataFrame:

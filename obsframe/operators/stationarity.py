@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from obsframe.binding import Binding
 from obsframe.functions.special import normal_cdf_value
 from obsframe.operators.least_squares import gram, ols, solve_rows, square
-from obsframe.operators.ordering import largest_group, numbered, over_order
+from obsframe.operators.ordering import largest_group, numbered, over_order, same_rows
 from obsframe.session import cut, link
 
 # MacKinnon (1994) response surface, constant only, one series
@@ -47,7 +47,7 @@ def adf(series: DataFrame, b: Binding, alpha: float = 0.05) -> DataFrame:
     """
     v = b.value
     rows = numbered(series.where(F.col(v).isNotNull()).select(*b.key, *b.order, v), b.key, b.order, "t", "n")
-    rows = cut(rows)
+    rows = same_rows(rows, cut(rows))
     top = default_lags(largest_group(rows, b.key))
 
     def build(w):
@@ -55,7 +55,8 @@ def adf(series: DataFrame, b: Binding, alpha: float = 0.05) -> DataFrame:
         diffs = [step[i] - step[i + 1] for i in range(1, top + 1)]
         return [F.array(F.lit(1.0), step[1], *diffs, F.col(v) - step[1]).alias("__x")]
 
-    lagged = over_order(rows, b.key, ("t",), build, before=top + 1).where(F.col("t") > top)
+    lagged = over_order(rows, b.key, ("t",), build, before=top + 1)
+    lagged = same_rows(rows, lagged.where(F.col("t") > top))
     sums = gram(lagged, b.key, F.col("__x"), ("t",))
     early = rows.where(F.col("t") <= top).groupBy(*b.key).agg(
         F.max("n").alias("n"),

@@ -6,13 +6,12 @@ from obsframe.operators import models as M
 from obsframe.operators import stationarity
 from obsframe.plans.registry import query, rounded
 from obsframe.plans.series import GRID, HOURS, hourly
-from obsframe.session import cut
 
 ROUNDS = 10  # boosting rounds in the registered queries; the API default is 100
 
 
 def series(spark, sf_dir):
-    return cut(hourly(spark, sf_dir).drop("is_filled"))
+    return hourly(spark, sf_dir).drop("is_filled")
 
 
 @query("adf_stationarity")

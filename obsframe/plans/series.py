@@ -10,6 +10,7 @@ from obsframe.operators import windows as X
 from obsframe.operators.stl import stl as decompose_stl
 from obsframe.plans.basics import CYCLE_SQL
 from obsframe.plans.registry import EVENTS, query, rounded, table
+from obsframe.session import cut
 
 WIN = "OVER (PARTITION BY event_type ORDER BY ts, event_id"
 GRID = Binding(key=("event_type",), ts="slot", values=("value",))
@@ -21,7 +22,7 @@ def events(spark, sf_dir):
 
 def hourly(spark, sf_dir):
     """Gap-free hourly mean of the event value per event type."""
-    return R.regular_series(table(spark, sf_dir, "events"), EVENTS)
+    return cut(R.regular_series(table(spark, sf_dir, "events"), EVENTS))
 
 
 def frame(sql: str, rows: str) -> str:

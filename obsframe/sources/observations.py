@@ -57,7 +57,9 @@ def parse_payload(raw: DataFrame, body: str = "body") -> Parsed:
     Other columns of ``raw`` (station, arrival time) pass through. ``rejected``
     keeps the original text with the first missing part as the reason.
     """
-    p = raw.withColumn("__p", F.from_json(body, PAYLOAD)).withColumn("__w", F.get(F.col("__p.weather"), F.lit(0)))
+    # generated rather than projected: otherwise each path would parse the text anew
+    p = raw.withColumn("__p", F.explode(F.array(F.from_json(body, PAYLOAD))))
+    p = p.withColumn("__w", F.get(F.col("__p.weather"), F.lit(0)))
     required = {
         "temperature": "__p.main.temp",
         "feels_like": "__p.main.feels_like",
