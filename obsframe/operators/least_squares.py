@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.operators.ordering import largest_group
-from obsframe.session import attach, group_rows
+from obsframe.session import attach, group_rows, spread
 
 FAN_IN = 1000  # partial matrices summed by one task
 
@@ -46,7 +46,7 @@ def summed(
         sizes = df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / limit).alias("__parts"))
         df = attach(df, sizes, tuple(key)).withColumn("__salt", F.pmod(F.xxhash64(*row), F.col("__parts")))
         group = [*key, "__salt"]
-    placed = df.repartition(*group).withColumn("__v", vector).select(*group, "__v")
+    placed = spread(df, *group).withColumn("__v", vector).select(*group, "__v")
 
     def partial(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["__v"].to_numpy())

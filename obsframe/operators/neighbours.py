@@ -22,7 +22,7 @@ from obsframe.binding import Binding
 from obsframe.operators.anomaly import contamination_flags, impute_scale
 from obsframe.operators.least_squares import fields
 from obsframe.operators.ordering import largest_group
-from obsframe.session import attach, cut, link
+from obsframe.session import attach, cut, link, spread
 
 CELL_CONF = "spark.obsframe.maxCellPoints"
 CELL_DEFAULT = 4096
@@ -147,7 +147,7 @@ def whole_key_factor(points: DataFrame, key: Sequence[str], dims: Sequence[str],
         around = np.bincount(p, qw * density[q], len(x)) / weight
         return pdf[[*key, *dims]].assign(lof=around / density)
 
-    return points.groupBy(*key).applyInPandas(factor, ", ".join([*fields(points, [*key, *dims]), "lof double"]))
+    return spread(points, *key).groupBy(*key).applyInPandas(factor, ", ".join([*fields(points, [*key, *dims]), "lof double"]))
 
 
 def neighbours(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
@@ -161,7 +161,7 @@ def neighbours(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence
         head = {c: pdf[c].iloc[0] for c in key}
         return edges_frame(head, pid, pid, nearest(x, x, w, k, np.arange(len(x)), None))
 
-    local = points.groupBy(*key, "cell").applyInPandas(inside, schema)
+    local = spread(points, *key, "cell").groupBy(*key, "cell").applyInPandas(inside, schema)
     local = cut(local)
     # a point whose cell holds fewer than k others has no bound yet
     reach = local.groupBy(*key, "pid").agg(
@@ -206,8 +206,8 @@ def neighbours(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence
 
     group = [*key, "cell", "__salt"]
     hosts = hosts.select([F.col(c).alias(f"h_{c}") for c in hosts.columns])
-    by_host = hosts.groupBy(*[f"h_{c}" for c in group])
-    away = guests.groupBy(*group).cogroup(by_host).applyInPandas(visit, schema)
+    by_host = spread(hosts, *[f"h_{c}" for c in group]).groupBy(*[f"h_{c}" for c in group])
+    away = spread(guests, *group).groupBy(*group).cogroup(by_host).applyInPandas(visit, schema)
     # per point at most k neighbours and ties from each visited cell remain to be merged
     every = local.unionByName(away)
     w = W.partitionBy(*key, "pid")

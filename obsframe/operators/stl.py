@@ -18,7 +18,7 @@ from obsframe.binding import Binding
 from obsframe.operators.least_squares import fields
 from obsframe.operators.ordering import chunked, fits_one_task, positions, quantiles
 from obsframe.operators.resample import grid_binding
-from obsframe.session import attach, cut, group_rows
+from obsframe.session import attach, cut, group_rows, spread
 
 BLOCK = 20_000
 
@@ -122,7 +122,7 @@ def whole_series(rows, key, period, spans, inner, rounds) -> DataFrame:
         return pdf.assign(trend=trend, seasonal=season, resid=resid)
 
     schema = ", ".join([*fields(rows, [*key, "slot", "value"]), "trend double, seasonal double, resid double"])
-    out = rows.groupBy(*key).applyInPandas(run, schema)
+    out = spread(rows, *key).groupBy(*key).applyInPandas(run, schema)
     return with_nulls(out)
 
 
@@ -155,7 +155,7 @@ def chunked_series(rows, key, period, spans, inner, rounds) -> DataFrame:
 
     for i in range(rounds):
         pieces = chunked(state, "pos", width, halo, halo)
-        fitted = pieces.groupBy(*key, "__chunk").applyInPandas(run, schema)
+        fitted = spread(pieces, *key, "__chunk").groupBy(*key, "__chunk").applyInPandas(run, schema)
         fitted = cut(fitted.withColumn("resid", F.col("value") - F.col("trend") - F.col("seasonal")))
         if i + 1 < rounds:
             size = fitted.withColumn("__a", F.abs(F.nanvl("resid", F.lit(None))))

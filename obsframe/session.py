@@ -58,6 +58,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` into a stated number of tasks.
+
+    Before heavy per-group work: left to itself, adaptive execution would merge
+    the partitions by their few bytes and run all groups in one task.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
     """Null-safe equality over column pairs: a null key is a key like any other."""
     return reduce(
