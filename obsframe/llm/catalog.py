@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from obsframe.llm import dedup
+from obsframe.llm import dedup, pii
 
 QUERIES = {
     "op2_exact_dedup": dedup.op2_exact_dedup,
+    "op9_pii": pii.op9_pii,
 }
 
 ORACLES = {

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.session import scratch_dir
+from obsframe.session import broadcast_cells, scratch_dir
 
 # The six ASCII characters that count as white space in every contract.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -42,3 +42,9 @@ def tasks(spark: SparkSession) -> int:
 def blocks(total: float, per_block: float, least: int = 1) -> int:
     """How many blocks of a stated size hold ``total``."""
     return max(least, math.ceil((total or 0) / per_block))
+
+
+def fits(small: DataFrame) -> bool:
+    """Whether a stored frame is within the bound for a broadcast; counts no further than the bound."""
+    rows = max(1, broadcast_cells(small.sparkSession) // max(1, len(small.columns)))
+    return small.limit(rows + 1).count() <= rows
