@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from obsframe.llm import dedup, pii
+from obsframe.llm import dedup, pii, tokens
 
 QUERIES = {
+    "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
     "op2_exact_dedup": dedup.op2_exact_dedup,
     "op9_pii": pii.op9_pii,
 }
