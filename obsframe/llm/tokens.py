@@ -6,11 +6,11 @@ shard becomes one file through Spark's own writer, which commits what a task wro
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +20,18 @@ from obsframe.llm import wavelet
 from obsframe.llm.common import fits, scratch_path, stored, table, tasks, text_of
 
 SHARD_TOKENS = 4_000_000
-#: Entries that a Python worker remembers between batches.
-REMEMBERED = 600_000
+#: Words that a Python worker remembers between batches.
+REMEMBERED = 1_000_000
+#: Bytes of text whose words are looked at together.
+TOGETHER = 16 << 20
 END_ID = 1
 # Between records of a file Spark puts a separator: an empty skippable zstd frame.
 SEPARATOR = "P*M\x18\x00\x00\x00\x00"
 
 _encoders: dict[str, WordEncoder] = {}
-_LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+# Letters up to U+012F: their lower case and normal form depend on nothing around them.
+_LETTERS = r"[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}]+"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def default_tokenizer() -> str:
@@ -36,12 +40,20 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _take(values: np.ndarray, stops: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of stretches of ``values`` (ended by ``stops``) those numbered ``which``, end to end; their lengths."""
+    sizes = np.diff(stops, prepend=0)[which]
+    ends = np.cumsum(sizes)
+    shift = np.repeat(stops[which] - ends, sizes)
+    return values[shift + np.arange(len(shift))], sizes
+
+
 class WordEncoder:
-    """Encodes texts with the library, each distinct stretch between white space once.
+    """Encodes texts with the library, each distinct word between white space once a batch.
 
-    For tokenizers whose pre-tokens never hold white space. Letters followed by ASCII marks are two
-    pre-tokens; words of letters up to U+012F are lower-cased here and sent together, as each ends with a
-    token of its own kind. Everything else goes to the library as it stands.
+    For tokenizers whose pre-tokens never hold white space. A word of simple letters followed by ASCII marks
+    is two pre-tokens; the letters are lower-cased here and words sent together, as each ends with a token
+    that only ends words. Any other word goes to the library as it stands.
     """
 
     END = "</w>"
@@ -54,59 +66,67 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, dtype=bool)
         self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(self.END)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.values, self.stops = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _keep(self, words: list[str], ids: list[np.ndarray], stops: list[np.ndarray]) -> None:
+        base = np.cumsum([len(self.values), *map(len, ids[:-1])])
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.stops = np.concatenate([self.stops, *[s + b for s, b in zip(stops, base)]])
+        self.values = np.concatenate([self.values, *ids])
+
+    def _other(self, words: list[str]) -> None:
+        if words:
+            done = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+            ids = np.array([i for x in done for i in x], dtype=self.dtype)
+            self._keep(words, [ids], [np.cumsum([len(x) for x in done])])
 
     def _simple(self, words: list[str]) -> None:
+        ids, stops, kept, odd = [], [], [], []
         for i in range(0, len(words), 4096):
             some = words[i : i + 4096]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
-            data = ids.tobytes()
-            if len(stops) != len(some):
-                self._other(some)
-            else:
-                self.parts.update((w, data[b:e]) for w, b, e in zip(some, [0, *stops], stops))
-
-    def _other(self, parts: list[str]) -> None:
-        done = self.library.encode_batch_fast(parts, add_special_tokens=False)
-        self.parts.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(parts, done))
-
-    def learn(self, new: set[bytes]) -> None:
-        split, simple, other = [], {}, {}
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            found = _LETTERS_THEN_MARKS.fullmatch(text)
-            pieces = [found[1], found[2]] if found and found[1].isalpha() else [text]
-            if pieces[0].isalpha() and max(pieces[0]) < "\u0130":
-                pieces[0] = pieces[0].lower()
-                simple[pieces[0]] = None
-            else:
-                other[pieces[0]] = None
-            other |= dict.fromkeys(pieces[1:])
-            split.append((word, pieces))
-        self._simple([w for w in simple if w not in self.parts])
-        self._other([w for w in other if w not in self.parts])
-        self.words.update((word, b"".join([self.parts[p] for p in pieces])) for word, pieces in split)
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of each text as bytes of ``dtype``."""
-        out, at = [], 0
-        while at < len(texts):
-            docs, size = [], 0
-            while at < len(texts) and (not docs or size < 4 << 20):  # words are held for a few MB of text at a time
-                docs.append((texts[at] or b"").split())
-                size += len(texts[at] or b"")
-                at += 1
-            used = set().union(*docs)
-            new = used.difference(self.words)
-            if len(self.words) + len(new) > REMEMBERED:
-                self.words.clear()
-                self.parts.clear()
-                new = used
-            self.learn(new)
-            out += [b"".join([self.words[w] for w in words]) for words in docs]
-        return out
+            found = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+            ids.append(np.array(found, dtype=self.dtype))
+            stops.append(np.flatnonzero(self.ends[ids[-1]]) + 1)
+            kept += some
+            if len(stops[-1]) != len(some):
+                odd += some
+                ids.pop(), stops.pop()
+                del kept[-len(some) :]
+        if kept:
+            self._keep(kept, ids, stops)
+        self._other(odd)
+
+    def _numbers(self, words: pa.Array, learn) -> np.ndarray:
+        """Number of each word among those known, after learning the new ones."""
+        listed = words.to_pylist()
+        new = [w for w in dict.fromkeys(listed) if w not in self.known]
+        if new:
+            learn(new)
+        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, and each text's number of ids. ``texts`` are strings without nulls."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        words, which = coded.dictionary, coded.indices.to_numpy()
+        letters = pc.utf8_rtrim(words, characters=_MARKS)
+        plain = pc.match_substring_regex(letters, f"^{_LETTERS}$")
+        marks = pc.replace_substring_regex(words, f"^{_LETTERS}", "", max_replacements=1)
+        first = pc.if_else(plain, pc.utf8_lower(letters), "").dictionary_encode()
+        second = pc.if_else(plain, marks, words).dictionary_encode()
+        one = self._numbers(first.dictionary, self._simple)[first.indices.to_numpy()]
+        two = self._numbers(second.dictionary, self._other)[second.indices.to_numpy()]
+        ids, sizes = _take(self.values, self.stops, np.stack((one, two), axis=1).ravel())
+        by_word = sizes.reshape(-1, 2).sum(axis=1)
+        ids, sizes = _take(ids, np.cumsum(by_word), which)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, np.diff(ends[lists.offsets.to_numpy()])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -115,17 +135,28 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def _together(batch: pa.RecordBatch):
+    """Slices of a batch with about ``TOGETHER`` bytes of text each."""
+    stops = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
+    begin = 0
+    while begin < batch.num_rows:
+        before = stops[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(stops, before + TOGETHER, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _shards(path: str, shard_tokens: int):
-    """Function for mapInArrow: (doc_id, text as binary), in order, to one file's content per row."""
+    """Function for mapInArrow: (doc_id, text), in order, to one file's content per row."""
 
     def run(batches):
         words, part, shard = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], words.dtype).tobytes()
+        end = np.array([END_ID], words.dtype)
         ids, lengths, content, size = [], [], [], 0
 
         def close():
             nonlocal shard, size
-            data = np.frombuffer(b"".join(content), words.dtype)
+            data = np.concatenate(content)
             blob = wavelet.build(data, ids, np.array(lengths), part=part, shard=shard)
             shard, size = shard + 1, 0
             for held in (ids, lengths, content):
@@ -133,14 +164,15 @@ def _shards(path: str, shard_tokens: int):
             return pa.RecordBatch.from_pydict({"content": [blob]}, schema=pa.schema([("content", pa.binary())]))
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                some = batch.slice(begin, 512)
-                texts = some.column("text").to_pylist()
-                for doc_id, encoded in zip(some.column("doc_id").to_pylist(), words.encode(texts)):
+            for some in _together(batch):
+                encoded, counts = words.encode(some.column("text"))
+                at = 0
+                for doc_id, count in zip(some.column("doc_id").to_pylist(), counts.tolist()):
                     ids.append(doc_id)
-                    content.append(encoded + end)
-                    lengths.append(len(content[-1]) // words.dtype.itemsize)
-                    size += lengths[-1]
+                    content += [encoded[at : at + count], end]
+                    lengths.append(count + 1)
+                    at += count
+                    size += count + 1
                     if size >= shard_tokens:
                         yield close()
         if ids:
@@ -157,9 +189,8 @@ def write_tokens(
     Ascending doc_id over the files, null ids first; rows with the same doc_id follow a hash of their text.
     Null text counts as empty, and id 1 ends every document. An empty table writes no shard.
     """
-    text = text_of()
     ordered = (
-        docs.select("doc_id", text.cast("binary").alias("text"))
+        docs.select("doc_id", F.make_valid_utf8(text_of()).alias("text"))
         .withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
         .repartitionByRange(parts or tasks(docs.sparkSession), "doc_id", "tie", "row")
         .sortWithinPartitions("doc_id", "tie", "row")
