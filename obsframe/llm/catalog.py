@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from obsframe.llm import bpe, dedup, pii, simhash, tokens, warc
+from obsframe.llm import bpe, dedup, pii, simhash, tokens, topk, warc
 
 QUERIES = {
     "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
     "op2_exact_dedup": dedup.op2_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op5_topk": topk.op5_topk,
     "op7_warc": warc.op7_warc,
     "op8_bpe": bpe.op8_bpe,
     "op9_pii": pii.op9_pii,
@@ -15,4 +16,5 @@ QUERIES = {
 
 ORACLES = {
     "op2_exact_dedup": dedup.OP2_SQL,
+    "op5_topk": topk.OP5_SQL,
 }
