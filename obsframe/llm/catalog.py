@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obsframe.llm import bpe, dedup, pii, simhash, tokens, topk, warc
+from obsframe.llm import bpe, dedup, pii, simhash, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_warc": warc.op7_warc,
     "op8_bpe": bpe.op8_bpe,
     "op9_pii": pii.op9_pii,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLES = {
