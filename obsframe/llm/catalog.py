@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from obsframe.llm import bpe, dedup, pii, simhash, tokens, topk, toxicity, warc
+from obsframe.llm import bpe, dedup, packing, pii, simhash, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
     "op2_exact_dedup": dedup.op2_exact_dedup,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_simhash": simhash.op4_simhash,
     "op5_topk": topk.op5_topk,
     "op7_warc": warc.op7_warc,

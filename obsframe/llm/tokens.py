@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from obsframe.llm import wavelet
 from obsframe.llm.common import fits, scratch_path, stored, table, tasks, text_of
@@ -247,3 +248,17 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path)
     return read_tokens(spark, path)
+
+
+def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """doc_id, n_tokens (the end id included) for each row of ``docs`` (doc_id, text)."""
+    path = tokenizer or default_tokenizer()
+
+    def run(batches):
+        for batch in batches:
+            for some in _together(batch):
+                counts = encoder(path).encode(some.column("text"))[1]
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(counts + 1, pa.int64())], ["doc_id", "n_tokens"])
+
+    kept = docs.select("doc_id", F.make_valid_utf8(text_of()).alias("text"))
+    return kept.mapInArrow(run, T.StructType([kept.schema["doc_id"], T.StructField("n_tokens", T.LongType())]))
