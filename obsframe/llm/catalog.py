@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obsframe.llm import bpe, dedup, packing, pii, simhash, tokens, topk, toxicity, warc
+from obsframe.llm import bpe, dedup, packing, pii, simhash, tokens, topk, toxicity, unigram, warc
 
 QUERIES = {
     "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_simhash": simhash.op4_simhash,
     "op5_topk": topk.op5_topk,
+    "op6_token_counts": unigram.op6_token_counts,
     "op7_warc": warc.op7_warc,
     "op8_bpe": bpe.op8_bpe,
     "op9_pii": pii.op9_pii,
