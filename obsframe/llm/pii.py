@@ -196,11 +196,8 @@ def disclosing(
     entities = once.select("key", "weight", "entity").distinct().groupBy("entity").agg(F.sum("weight").alias("n_entity"))
     wanted = stored(pairs.select("term").distinct(), "terms")
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of()), WORD_BREAK))).alias("term"))
-    counted = F.count("*").alias("n_term")
-    if fits(wanted):
-        terms = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(counted)
-    else:  # sums per task first: the words themselves are never shuffled
-        terms = words.groupBy("term").agg(counted).join(wanted, "term", "left_semi")
+    # sums per task first, then the join (inner: a semi-join would be moved below the sums)
+    terms = words.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term")
     n = F.lit(float(total))
     content = F.log2(n / F.col("n_entity"))
     shared = F.log2(n * F.col("together") / (F.col("n_entity") * F.col("n_term")))
