@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsframe.session import broadcast_cells, scratch_dir
@@ -48,3 +48,32 @@ def fits(small: DataFrame) -> bool:
     """Whether a stored frame is within the bound for a broadcast; counts no further than the bound."""
     rows = max(1, broadcast_cells(small.sparkSession) // max(1, len(small.columns)))
     return small.limit(rows + 1).count() <= rows
+
+
+def mark_of(column: str = "text") -> Column:
+    """Hash that, with the doc_id, tells rows apart; rows that share both are repeated whole."""
+    return F.xxhash64(text_of(column))
+
+
+def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text, ...) that ``decisions`` (doc_id, mark, kept: a row for each) keep.
+
+    Texts stay where they are unless the rows to drop are too many for a broadcast. Of rows repeated whole
+    as many stay as are kept.
+    """
+    per_row = decisions.groupBy("doc_id", "mark").agg(
+        F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("stay")
+    )
+    touched = stored(per_row.where(F.col("stay") < F.col("n")).select("doc_id", "mark", "stay"), "dropped")
+    side = touched.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("stay").alias("__stay"))
+    side = F.broadcast(side) if fits(touched) else side
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (mark_of() == F.col("__mark"))
+    left = docs.join(side, same, "left").where("__stay is null or __stay > 0")
+    if touched.where("stay > 0").isEmpty():
+        return left.select(*columns)
+    repeated = left.where("__stay > 0")
+    numbered = repeated.withColumn(
+        "__n", F.row_number().over(Window.partitionBy("__id", "__mark").orderBy(F.lit(1)))
+    ).where("__n <= __stay")
+    return left.where("__stay is null").select(*columns).union(numbered.select(*columns))

@@ -12,14 +12,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsframe.llm.common import SPACE_CLASS, stored, table, tasks, text_of
+from obsframe.llm.common import SPACE_CLASS, keep_rows, mark_of, stored, table, tasks, text_of
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, row (an id of the row), n_chars of the original, SHA-256 of the text without white space."""
+    """doc_id, mark, row (an id of the row), n_chars of the original, SHA-256 of the text without white space."""
     text = text_of()
     return docs.select(
         "doc_id",
+        mark_of().alias("mark"),
         F.monotonically_increasing_id().alias("row"),
         F.length(text).cast("long").alias("n_chars"),
         F.unhex(F.sha2(F.regexp_replace(text, f"{SPACE_CLASS}+", ""), 256)).alias("digest"),
@@ -39,7 +40,7 @@ class DigestIndex:
     def add(self, docs: DataFrame) -> DataFrame:
         """Decide about each row of ``docs`` (doc_id, text) and append the texts not seen before.
 
-        Returns doc_id, row, keep_id, group_size (rows of this batch with the text), kept, digest. Of equal
+        Returns doc_id, mark, row, keep_id, group_size (rows of this batch with the text), kept, digest. Of equal
         texts the longest original stays, then the smallest doc_id; a text known from an earlier batch is
         never kept again and names the document of that batch. Null text counts as empty; a null doc_id
         stays only if no other row has the text; of rows repeated whole exactly one stays. An empty batch
@@ -80,7 +81,7 @@ class DigestIndex:
         )
         # Plain shuffles on both sides, so that adaptive execution splits a digest that fills a partition.
         return rows.join(decided.hint("merge"), "digest").select(
-            "doc_id", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"
+            "doc_id", "mark", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"
         )
 
 
@@ -90,6 +91,11 @@ def exact_dedup(docs: DataFrame, index: str | None = None) -> DataFrame:
     return DigestIndex(spark, index or f"digest_index_{uuid.uuid4().hex}").add(docs)
 
 
+def without_copies(docs: DataFrame, index: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    return keep_rows(docs, stored(exact_dedup(docs, index), "decisions"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(table(spark, sf_dir, "documents"))
     return found.select(

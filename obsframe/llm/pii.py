@@ -219,21 +219,85 @@ def find_spans(
     Null text counts as empty and has no spans; rows repeated whole count each time in the statistics and
     get the same spans; an empty table gives no rows. Other columns of ``docs`` are ignored.
     """
+    base = base_spans(docs).drop("text")
+    added = revealing(docs, reach, support, generalise_at, remove_at)
+    none = F.array().cast(SPAN)
+    return base.join(added, "key", "left").withColumn("terms", F.coalesce("terms", none))
+
+
+def revealing(
+    docs: DataFrame,
+    reach: int = 48,
+    support: int = 3,
+    generalise_at: float = 0.6,
+    remove_at: float = 0.9,
+) -> DataFrame:
+    """key, terms: the added spans of the rows that have some."""
     base = base_spans(docs).withColumn("base", F.concat(*KINDS))
     holders = base.where(F.size("base") > 0).groupBy("key")
     holders = holders.agg(F.first("base").alias("base"), F.first("text").alias("text"), F.count("*").alias("weight"))
     near = stored(neighbours(stored(holders, "holders"), reach).distinct(), "near")
     told = stored(disclosing(docs, near, support, generalise_at, remove_at), "told")
     added = (
-        near.join(F.broadcast(told) if fits(told) else told, ["entity", "term"])
+        near.select("key", "entity", "term", "start", "stop").join(F.broadcast(told) if fits(told) else told, ["entity", "term"])
         .groupBy("key", "start", "stop")
         .agg(F.max("kind").alias("kind"))  # "remove" sorts after "generalise"
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "stop"))).alias("terms"))
     )
-    none = F.array().cast(SPAN)
-    plain = base.drop("text", "base")
-    return plain.join(added, "key", "left").withColumn("terms", F.coalesce("terms", none))
+    return stored(added, "added")
+
+
+# What is written for a span; a removed term leaves nothing.
+MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "remove": ""}
+
+
+def _mask(kind: Column, value: Column) -> Column:
+    shape = F.when(value.rlike("^[0-9]+$"), "[NUMBER]").otherwise("[WORD]")
+    for name, mask in MASKS.items():
+        shape = F.when(kind == name, mask).otherwise(shape)
+    return shape
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with every span replaced; of spans that overlap the first writes its mask, all are covered."""
+    placed = F.array_sort(spans, lambda x, y: F.when(x["start"] != y["start"], (x["start"] - y["start"]).cast("int")).otherwise((y["stop"] - x["stop"]).cast("int")))
+
+    def step(acc: Column, s: Column) -> Column:
+        at, length = (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")
+        value = F.substring(text, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int"))
+        more = F.concat(F.substring(text, at, length), _mask(s["kind"], value))
+        return F.struct(
+            F.greatest(acc["at"], s["stop"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], more)).otherwise(acc["out"]).alias("out"),
+        )
+
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    return F.aggregate(
+        placed, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+    )
+
+
+def sanitise(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with personal data masked and revealing terms generalised or removed; null text becomes empty.
+    A column n_chars, where there is one, is brought up to date."""
+    added = revealing(docs, **options)
+    side = added.select(F.col("key").alias("__key"), F.col("terms").alias("__terms"))
+    side = F.broadcast(side) if fits(added) else side
+    text = text_of()
+    spans = F.concat(*[F.col(f"__{k}").cast(SPAN) for k in KINDS], F.coalesce("__terms", F.array().cast(SPAN)))
+    found = docs.withColumns(
+        {"__key": F.xxhash64("doc_id", text), **{f"__{k}": _plain(_found(text, k)) for k in KINDS}}
+    )
+    found = found.join(side, "__key", "left").withColumn("__spans", spans)
+    clean = found.withColumn("text", F.when(F.size("__spans") > 0, _masked(text, F.col("__spans"))).otherwise(text))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
+
+
+def _plain(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
 
 
 def _joined(spans: Column) -> Column:

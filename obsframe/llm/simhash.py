@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsframe.llm.common import stored, table, tasks, text_of
+from obsframe.llm.common import keep_rows, mark_of, stored, table, tasks, text_of
 from obsframe.llm.components import labels
 
 BITS = 64
@@ -57,15 +57,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long) for each row of ``docs`` (doc_id, text)."""
+    """doc_id, mark, fp (the fingerprint's 64 bits as a signed long) for each row of ``docs`` (doc_id, text)."""
 
     def run(batches):
         for batch in batches:
             marks = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks.view("<i8"))], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("mark"), pa.array(marks.view("<i8"))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "fp"])
 
-    kept = docs.select("doc_id", text_of().cast("binary").alias("text"))
-    return kept.mapInArrow(run, T.StructType([kept.schema["doc_id"], T.StructField("fp", T.LongType())]))
+    kept = docs.select("doc_id", mark_of().alias("mark"), text_of().cast("binary").alias("text"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:2], T.StructField("fp", T.LongType())]))
 
 
 def _joint_counts(marks: DataFrame) -> tuple[int, np.ndarray]:
@@ -286,10 +287,10 @@ def near_links(marks: DataFrame, distance: int = 3, crowd: int = CROWD) -> DataF
 
 
 def near_duplicates(docs: DataFrame, distance: int = 3, crowd: int = CROWD) -> DataFrame:
-    """doc_id, fp, component_id for each row of ``docs`` (doc_id, text).
+    """doc_id, mark, fp, component_id, component for each row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id that links of at most ``distance`` differing bits reach, the row's own
-    included. Null and empty texts have fingerprint 0 and link like others; equal fingerprints always link;
+    included; component is the smallest fingerprint of it. Null and empty texts have fingerprint 0 and link like others; equal fingerprints always link;
     rows with a null doc_id take part, and component_id is null only where no row of the component has one.
     An empty table gives no rows. Other columns of ``docs`` are ignored.
     """
@@ -299,9 +300,18 @@ def near_duplicates(docs: DataFrame, distance: int = 3, crowd: int = CROWD) -> D
     rooted = marks.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = stored(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_mark = stored(rooted.join(least.hint("merge"), "root").select("fp", "component_id"), "components")
+    by_mark = stored(rooted.join(least.hint("merge"), "root").select("fp", "component_id", F.col("root").alias("component")), "components")
     # Plain shuffles on both sides: adaptive execution splits a fingerprint that fills a partition.
-    return rows.join(by_mark.hint("merge"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(by_mark.hint("merge"), "fp").select("doc_id", "mark", "fp", "component_id", "component")
+
+
+def without_near_copies(docs: DataFrame, distance: int = 3) -> DataFrame:
+    """Of each component the row with the smallest doc_id (then mark), with all its columns."""
+    rows = stored(near_duplicates(docs, distance).withColumn("row", F.monotonically_increasing_id()), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "row")
+    stays = rows.groupBy("component").agg(F.min(order).alias("stays")).select(F.col("stays.row").alias("row"), F.lit(True).alias("kept"))
+    decided = rows.join(stays.hint("merge"), "row", "left")
+    return keep_rows(docs, decided.select("doc_id", "mark", F.coalesce("kept", F.lit(False)).alias("kept")))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,22 +216,6 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     return Lexicon(general | {r["word"]: weight(r) for r in learned if not r["stem"]}, {r["word"]: weight(r) for r in learned if r["stem"]})
 
 
-def document_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """doc_id and FEATURES for each row of ``docs`` (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.stems))  # at most ENTRIES entries
-
-    def run(batches):
-        own = Lexicon(*shared.value)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 2048):
-                some = batch.slice(begin, 2048)
-                found = features(some.column("text"), own)
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), *map(pa.array, found.T)], ["doc_id", *FEATURES])
-
-    kept = docs.select("doc_id", F.make_valid_utf8(text_of()).alias("text"))
-    return kept.mapInArrow(run, T.StructType([kept.schema["doc_id"], *[T.StructField(f, T.DoubleType()) for f in FEATURES]]))
-
-
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Logistic regression by Newton steps; the intercept comes first."""
     x = np.concatenate((np.ones((len(x), 1)), x), axis=1)
@@ -246,6 +230,53 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
+@dataclass
+class Model:
+    """A lexicon and the weights of FEATURES, the intercept first."""
+
+    lexicon: Lexicon
+    weights: np.ndarray
+
+    def score(self, spark: SparkSession):
+        """Function of a text column to its score between 0 and 1."""
+        # the lexicon has at most ENTRIES entries beside the general lists
+        shared = spark.sparkContext.broadcast((self.lexicon.words, self.lexicon.stems, self.weights))
+
+        @F.arrow_udf(T.DoubleType())
+        def scored(texts: pa.Array) -> pa.Array:
+            words, stems, w = shared.value
+            x, own = [np.zeros((0, len(FEATURES)))], Lexicon(words, stems)
+            for begin in range(0, len(texts), 2048):
+                x.append(features(texts.slice(begin, 2048), own))
+            return pa.array(1 / (1 + np.exp(-np.clip(w[0] + np.concatenate(x) @ w[1:], -500, 500))))
+
+        return lambda column="text": scored(F.make_valid_utf8(text_of(column)))
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """Lexicon from all labelled rows outside the held-out fold, weights from FIT_ROWS of them at most."""
+    lexicon = learn_lexicon(docs, labels)
+    rows = _labelled(docs.select("doc_id", "text"), labels)
+    if not rows.isEmpty():
+        shared = docs.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.stems))
+
+        def run(batches):
+            own = Lexicon(*shared.value)
+            for batch in batches:
+                for begin in range(0, batch.num_rows, 2048):
+                    some = batch.slice(begin, 2048)
+                    columns = [some.column("row"), some.column("toxic"), *map(pa.array, features(some.column("text"), own).T)]
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "toxic", *FEATURES])
+
+        text = F.make_valid_utf8(text_of())
+        kept = rows.select(F.xxhash64("doc_id", text).alias("row"), F.col("toxic").cast("int").alias("toxic"), text.alias("text"))
+        shape = "row long, toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
+        sample = kept.mapInArrow(run, shape).orderBy("row", *FEATURES).limit(FIT_ROWS).drop("row").toPandas().to_numpy(dtype=float)
+        if 0 < sample[:, 0].sum() < len(sample):
+            return Model(lexicon, fit(sample[:, 1:], sample[:, 0]))
+    return Model(lexicon, np.array([-3.0, 0.5, 1.0, 1.0, 1.0]))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs`` (doc_id, text).
 
@@ -254,19 +285,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     out. Without labels of both kinds a fixed model over the general list stands in. Repeated rows stay
     repeated; an empty table gives no rows. Other columns are ignored.
     """
-    lexicon = learn_lexicon(docs, labels)
-    rows = stored(document_features(docs, lexicon), "features")
-    training = _labelled(rows, labels).orderBy(F.xxhash64("doc_id"), *FEATURES).limit(FIT_ROWS)
-    sample = training.select("toxic", *FEATURES).toPandas().to_numpy(dtype=float)
-    y = sample[:, 0]
-    w = fit(sample[:, 1:], y) if 0 < y.sum() < len(y) else np.array([-3.0, 0.5, 1.0, 1.0, 1.0])
-    linear = F.lit(float(w[0]))
-    for name, value in zip(FEATURES, w[1:]):
-        linear = linear + F.col(name) * F.lit(float(value))
-    score = 1 / (1 + F.exp(-linear))
-    return rows.select("doc_id", held_out().alias("held_out"), score.alias("score")).withColumn(
-        "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
-    )
+    score = learn(docs, labels).score(docs.sparkSession)
+    rows = docs.select("doc_id", held_out().alias("held_out"), score().alias("score"))
+    return rows.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, with all their columns."""
+    score = learn(docs, labels).score(docs.sparkSession)
+    return docs.where(score() < 0.5)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
