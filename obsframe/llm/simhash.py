@@ -175,17 +175,19 @@ def plan(marks: DataFrame, distance: int) -> list[tuple[list[int], int]]:
 def _probes(marks: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
     """group, part, fp, base: each fingerprint under its own key of each part and, where the threshold allows
     differences, under the keys it may differ to. Of two keys only one probes the other."""
-    arrays = []
-    for i, (part, threshold) in enumerate(parts):
+
+    def keys(i: int, part: list[int], threshold: int):
+        def entry(key, base: bool):
+            return F.struct(F.xxhash64(F.lit(i), key).alias("group"), F.lit(i).alias("part"), F.lit(base).alias("base"))
+
         own = F.col("fp").bitwiseAND(F.lit(_mask(part)))
-        entry = lambda key, base, i=i: F.struct(
-            F.xxhash64(F.lit(i), key).alias("group"), F.lit(i).alias("part"), F.lit(base).alias("base")
-        )
-        arrays.append(F.array(entry(own, True)))
-        if threshold:
-            flips = F.array(*[F.struct(F.lit(a).alias("low"), F.lit(b).alias("all")) for a, b in _flips(part, threshold)])
-            free = F.filter(flips, lambda f: F.col("fp").bitwiseAND(f["low"]) == 0)
-            arrays.append(F.transform(free, lambda f, own=own, entry=entry: entry(own.bitwiseXOR(f["all"]), False)))
+        if not threshold:
+            return F.array(entry(own, True))
+        flips = F.array(*[F.struct(F.lit(a).alias("low"), F.lit(b).alias("all")) for a, b in _flips(part, threshold)])
+        free = F.filter(flips, lambda f: F.col("fp").bitwiseAND(f["low"]) == 0)
+        return F.concat(F.array(entry(own, True)), F.transform(free, lambda f: entry(own.bitwiseXOR(f["all"]), False)))
+
+    arrays = [keys(i, part, threshold) for i, (part, threshold) in enumerate(parts)]
     return marks.select("fp", F.explode(F.concat(*arrays)).alias("e")).select("e.group", "e.part", "fp", "e.base")
 
 
