@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsframe.binding import Binding
@@ -16,7 +15,7 @@ from obsframe.operators.ordering import average_rank, numbered, over_order, quan
 from obsframe.session import attach, bounded, cut, link
 
 ALPHA = 0.05
-SHAPIRO_LIMIT = 5000  # samples of this size or more are taken as normal
+ROYSTON_MOST = 5000  # largest sample that the approximation of p was fitted for
 
 
 # ---------------------------------------------------------------- trend
@@ -61,13 +60,13 @@ def linear_trend(df: DataFrame, b: Binding, practical: float = 0.01) -> DataFram
         F.when(
             significant,
             F.format_string(
-                "Statistically significant %s trend detected with %s fit (R²=%.3f)",
+                "The series is %s beyond chance; a straight line is a %s description of it (R² %.3f)",
                 direction,
                 S.fit_label(F.col("r_squared")),
                 F.col("r_squared"),
             ),
         )
-        .otherwise("No statistically significant trend detected")
+        .otherwise("The slope may well be chance")
         .alias("interpretation"),
     )
 
@@ -162,39 +161,41 @@ def poly(x: Column, coefficients: Sequence[float]) -> Column:
     return out
 
 
-def shapiro(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """Shapiro-Wilk W and p per key; larger samples are not tested and count as normal."""
+def shapiro(df: DataFrame, key: Sequence[str], value: str, skip_from: int | None = None) -> DataFrame:
+    """Shapiro-Wilk W per key, at every size, and whether the values pass for normal.
+
+    p follows Royston's approximation up to the 5,000 values it was fitted for; beyond that it is the
+    large-sample one of skewness and kurtosis (Jarque-Bera, chi-square with two degrees of freedom), as
+    ``p_method`` says. ``skip_from`` takes keys of that size or more as normal without a test. Keys below three
+    values or without spread have no W and no p.
+    """
     rows = df.where(F.col(value).isNotNull()).select(*key, F.col(value).cast("double").alias("x"))
-    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    sizes = cut(sizes)
-    small = sizes.where((F.col("n") >= 3) & (F.col("n") < SHAPIRO_LIMIT))
-    # the size test above bounds every window partition here
-    rows = link(rows, bounded(cut(small)), tuple(key), "inner")
-    rows = rows.withColumn("i", F.row_number().over(W.partitionBy(*key).orderBy("x")))
-    rows = rows.withColumn("m", special.normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)))
-    rows = cut(rows)
+    placed = numbered(rows, key, ("x",), "i", "n").withColumn("i", F.col("i") + 1)
+    rows = cut(placed.withColumn("m", special.normal_score((F.col("i") - 0.375) / (F.col("n") + 0.25))))
     n = F.col("n")
     m_at = lambda back: F.max(F.when(F.col("i") == n - back, F.col("m")))
     shape = rows.groupBy(*key).agg(
         F.sum(F.col("m") * F.col("m")).alias("ss"), m_at(0).alias("m1"), m_at(1).alias("m2"),
         F.first("n").alias("size"), F.avg("x").alias("centre"),
+        F.skewness("x").alias("__skew"), F.kurtosis("x").alias("__excess"),
     )
     u, root = 1 / F.sqrt("size"), F.sqrt("ss")
-    a1 = F.col("m1") / root + poly(u, LAST_WEIGHT)
-    a2 = F.col("m2") / root + poly(u, NEXT_WEIGHT)
+    a1 = F.try_divide(F.col("m1"), root) + poly(u, LAST_WEIGHT)
+    a2 = F.try_divide(F.col("m2"), root) + poly(u, NEXT_WEIGHT)
     shape = shape.withColumn("a1", F.when(F.col("size") == 3, math.sqrt(0.5)).otherwise(a1)).withColumn(
         "a2", F.when(F.col("size") > 5, a2)
     )
     taken = 2 * F.col("a1") * F.col("a1") + F.coalesce(2 * F.col("a2") * F.col("a2"), F.lit(0.0))
     lost = 2 * F.col("m1") * F.col("m1") + F.when(F.col("size") > 5, 2 * F.col("m2") * F.col("m2")).otherwise(0.0)
-    shape = shape.withColumn("phi", F.try_divide(F.col("ss") - lost, 1 - taken)).drop("size", "ss", "m1", "m2")
-    rows = attach(rows, shape, tuple(key))
+    shape = cut(shape.withColumn("phi", F.try_divide(F.col("ss") - lost, 1 - taken)).drop("ss", "m1", "m2"))
+    rows = attach(rows.where(n >= 3), shape.drop("size", "__skew", "__excess"), tuple(key))
     edge = F.least(F.col("i") - 1, n - F.col("i"))
     size = F.when(edge == 0, F.col("a1")).when((edge == 1) & F.col("a2").isNotNull(), F.col("a2"))
     middle = F.when(F.col("m") == 0, 0.0).otherwise(F.abs("m") / F.sqrt("phi"))
     weight = F.signum("m") * F.coalesce(size, middle)
     off = F.col("x") - F.col("centre")
     w = rows.groupBy(*key).agg(F.try_divide(F.pow(F.sum(weight * off), 2), F.sum(off * off)).alias("w"))
+    sizes = shape.select(*key, F.col("size").alias("n"), "__skew", "__excess")
     out = link(sizes, w, tuple(key)).withColumn("w", F.when(F.col("w") > 1, 1.0).otherwise(F.col("w")))
     log_n = F.log(n)
     tail = F.log1p(-F.when(F.col("w") < 1, F.col("w")))
@@ -202,11 +203,26 @@ def shapiro(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     z_large = (tail - poly(log_n, LARGE_MEAN)) / F.exp(poly(log_n, LARGE_LOG_SD))
     three = F.greatest(6 / math.pi * (F.asin(F.sqrt("w")) - math.asin(math.sqrt(0.75))), F.lit(0.0))
     out = out.withColumn("__z", F.when(n <= 11, z_small).otherwise(z_large))
-    p = F.when(n == 3, three).when(F.col("w") == 1, 1.0).otherwise(special.normal_upper(F.col("__z")))
-    tested = F.col("w").isNotNull()
+    moments = n / 6 * (F.col("__skew") * F.col("__skew") + F.col("__excess") * F.col("__excess") / 4)
+    p = F.when(n == 3, three).when(n > ROYSTON_MOST, F.exp(-moments / 2)).when(F.col("w") == 1, 1.0)
+    p = p.otherwise(special.normal_upper(F.col("__z")))
+    skipped = F.lit(False) if skip_from is None else n >= skip_from
+    tested = F.col("w").isNotNull() & ~skipped
     out = out.withColumn("normality_tested", tested)
-    out = out.withColumn("p_value", F.when(tested, p).when(n >= SHAPIRO_LIMIT, 1.0))
-    return out.withColumn("is_normal", F.col("p_value") > ALPHA).drop("__z")
+    out = out.withColumn("p_value", F.when(tested, p).when(skipped, 1.0))
+    method = F.when(n > ROYSTON_MOST, "moments").otherwise("royston")
+    out = out.withColumn("p_method", F.when(tested, method))
+    return out.withColumn("is_normal", F.col("p_value") > ALPHA).drop("__z", "__skew", "__excess")
+
+
+def residual_checks(residuals: DataFrame, b: Binding, column: str = "residual") -> DataFrame:
+    """Mean, lag-1 correlation, independence, equal variance and normality of residuals, a row per key."""
+    out = residual_diagnostics(residuals, b, column)
+    normal = shapiro(residuals, b.key, column).select(*b.key, "w", F.col("p_value").alias("normal_p"), "is_normal")
+    halves = levene_halves(residuals, b, column).select(*b.key, "levene_w", F.col("p_value").alias("levene_p"))
+    for part in (durbin_watson(residuals, b, column), halves, normal):
+        out = link(out, part, b.key)
+    return out.withColumn("is_homoscedastic", F.col("levene_p") > ALPHA)
 
 
 # ---------------------------------------------------------------- two samples
@@ -354,12 +370,12 @@ def sentence(significant: Column) -> Column:
     return F.when(
         significant,
         F.format_string(
-            "%s is significantly %s than %s (difference %.2f, p=%.4f, %s effect: %s)",
+            "%s lies %s than %s beyond chance, by %.2f (p %.4f); the effect is %s, %s",
             F.col("key_a").cast("string"), higher, F.col("key_b").cast("string"), size, F.col("p_value"), effect, weight,
         ),
     ).otherwise(
         F.format_string(
-            "No significant difference between %s and %s (p=%.3f, difference %.2f)",
+            "%s and %s may be alike (p %.3f at a difference of %.2f)",
             F.col("key_a").cast("string"), F.col("key_b").cast("string"), F.col("p_value"), size,
         )
     )

@@ -6,61 +6,80 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsframe.operators.ordering import largest_group
-from obsframe.session import attach, group_rows, spread
-
-FAN_IN = 1000  # partial matrices summed by one task
+GROUPS = 64  # groups that a key's partial sums are added in before the last step
+HELD = 4096  # keys whose sums a task holds before it sends them
 
 
 def fields(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names]
 
 
-def gram(df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str]) -> DataFrame:
+def gram(df: DataFrame, key: Sequence[str], vector: Column) -> DataFrame:
     """Sum of v vᵀ per key as a flat array ``g``, for the vector expression v of each row."""
-    return summed(df, key, vector, row, lambda x: (x.T @ x).ravel()).drop("n").withColumnRenamed("s", "g")
+    return summed(df, key, vector, lambda x: (x.T @ x).ravel()).drop("n").withColumnRenamed("s", "g")
 
 
-def vector_sum(df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str]) -> DataFrame:
+def vector_sum(df: DataFrame, key: Sequence[str], vector: Column) -> DataFrame:
     """Sum ``s`` of a vector expression per key, and the number ``n`` of rows."""
-    return summed(df, key, vector, row, lambda x: x.sum(axis=0))
+    return summed(df, key, vector, lambda x: x.sum(axis=0))
 
 
-def summed(
-    df: DataFrame, key: Sequence[str], vector: Column, row: Sequence[str], part: Callable[[np.ndarray], np.ndarray]
-) -> DataFrame:
+def summed(df: DataFrame, key: Sequence[str], vector: Column, part: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """Add up ``part(matrix of rows)`` per key.
 
-    Keys beyond the group limit are split by a hash of the ``row`` columns; the
-    partial sums are then added in steps. The vector is built after the
-    shuffle, so that only the columns it reads are moved.
+    Every task adds up its own rows; only its sums are shuffled, and added in two
+    steps, so that a key in all tasks meets no more than its share of them at once.
     """
     key = list(key)
-    limit = group_rows(df.sparkSession)
-    largest = largest_group(df, key)
-    group = list(key)
-    if largest > limit:
-        sizes = df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / limit).alias("__parts"))
-        df = attach(df, sizes, tuple(key)).withColumn("__salt", F.pmod(F.xxhash64(*row), F.col("__parts")))
-        group = [*key, "__salt"]
-    placed = spread(df, *group).withColumn("__v", vector).select(*group, "__v")
-
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["__v"].to_numpy())
-        return one_row(pdf, group, {"s": part(x), "n": len(x)})
+    rows = df.select(*key, vector.alias("__v"))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = TaskContext.get().partitionId() % GROUPS
+        sums: dict[tuple, list] = {}
+
+        def sent() -> pa.RecordBatch:
+            names = [*key, "__group", "s", "n"]
+            columns = [pa.array([k[i] for k in sums], kinds[i]) for i in range(len(key))]
+            columns += [pa.array([group] * len(sums), pa.int32()), pa.array([s for s, _ in sums.values()], pa.list_(pa.float64()))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in sums.values()], pa.int64())], names)
+
+        kinds: list[pa.DataType] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = [batch.schema.field(c).type for c in key]
+            values = batch.column("__v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for keys, x in by_key(batch, key, values):
+                held = sums.setdefault(keys, [0.0, 0])
+                held[0] = held[0] + part(x)
+                held[1] += len(x)
+            if len(sums) >= HELD:
+                yield sent()
+                sums.clear()
+        if sums:
+            yield sent()
 
     shape = "s array<double>, n bigint"
-    out = placed.groupBy(*group).applyInPandas(partial, ", ".join([*fields(placed, group), shape]))
-    parts = -(-largest // limit)
-    while parts > 1:
-        parts = -(-parts // FAN_IN)
-        out = out.withColumn("__salt", F.floor(F.col("__salt") / FAN_IN))
-        by = group if parts > 1 else key
-        out = out.groupBy(*by).applyInPandas(adder(tuple(by)), ", ".join([*fields(out, by), shape]))
-    return out
+    sums = rows.mapInArrow(partial, ", ".join([*fields(rows, key), "__group int", shape]))
+    for by in ([*key, "__group"], key):
+        sums = sums.groupBy(*by).applyInPandas(adder(tuple(by)), ", ".join([*fields(sums, by), shape]))
+    return sums
+
+
+def by_key(batch: pa.RecordBatch, key: Sequence[str], values: np.ndarray) -> Iterator[tuple[tuple, np.ndarray]]:
+    """The rows of ``values`` that each key of a batch has; a null key is a key like any other."""
+    codes = np.zeros(batch.num_rows, dtype=np.int64)
+    for c in key:
+        encoded = batch.column(c).dictionary_encode(null_encoding="encode")
+        _, codes = np.unique(codes * len(encoded.dictionary) + encoded.indices.to_numpy(), return_inverse=True)
+    order = np.argsort(codes, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
+        yield tuple(batch.column(c)[int(rows[0])].as_py() for c in key), values[rows]
 
 
 def adder(by: Sequence[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:

@@ -97,7 +97,7 @@ class SeasonalModel:
         )
         span = cut(span)
         rows = attach(known, span.drop("n"), b.key)
-        sums = gram(rows, b.key, F.array(*self.design(ts), F.col(v).cast("double")), (ts, v))
+        sums = gram(rows, b.key, F.array(*self.design(ts), F.col(v).cast("double")))
         ridge = self.ridge()
 
         def solve(r: dict):
@@ -160,7 +160,7 @@ class ArimaModel:
         # stage one: a long autoregression whose residuals stand in for the shocks
         lagged = over_order(rows, b.key, ("t",), long_lags, before=m)
         lagged = same_rows(sized, cut(lagged.where(F.col("t") >= m + F.col("d"))))
-        sums = gram(lagged, b.key, F.concat("__x", F.array("z")), ("t",))
+        sums = gram(lagged, b.key, F.concat("__x", F.array("z")))
 
         def autoregress(r: dict):
             s = square(r["g"])
@@ -179,7 +179,7 @@ class ArimaModel:
 
         paired = cut(over_order(shocks, b.key, ("t",), short_lags, before=2))
         full = same_rows(sized, paired.where(F.forall("__x", lambda x: x.isNotNull())))
-        sums = gram(full, b.key, F.col("__x"), ("t",))
+        sums = gram(full, b.key, F.col("__x"))
         state = F.struct("z", F.element_at("__x", 2).alias("z1"), "e", F.element_at("__x", 4).alias("e1"), "y")
         last = full.groupBy(*b.key).agg(
             F.count(F.lit(1)).alias("n"), F.max("d").alias("d"), F.max_by(state, "t").alias("s")
@@ -473,7 +473,7 @@ class StackingEnsemble:
 
     def linear(self, rows: DataFrame, names: Sequence[str]) -> DataFrame:
         vector = F.array(F.lit(1.0), *[F.col(n) for n in names], F.col("actual").cast("double"))
-        sums = gram(rows, self.b.key, vector, ("step",))
+        sums = gram(rows, self.b.key, vector)
         lasso = self.meta == "lasso"
 
         def solve(r: dict):

@@ -57,7 +57,7 @@ def adf(series: DataFrame, b: Binding, alpha: float = 0.05) -> DataFrame:
 
     lagged = over_order(rows, b.key, ("t",), build, before=top + 1)
     lagged = same_rows(rows, lagged.where(F.col("t") > top))
-    sums = gram(lagged, b.key, F.col("__x"), ("t",))
+    sums = gram(lagged, b.key, F.col("__x"))
     early = rows.where(F.col("t") <= top).groupBy(*b.key).agg(
         F.max("n").alias("n"),
         F.transform(F.array_sort(F.collect_list(F.struct("t", F.col(v).cast("double").alias("v")))), lambda s: s.v).alias("early"),

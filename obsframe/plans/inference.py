@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from obsframe.binding import Binding
+from obsframe.functions import special
 from obsframe.operators import correlate as C
 from obsframe.operators import hypothesis as H
 from obsframe.plans.profiles import FEATURES
@@ -164,11 +165,63 @@ def residual_diagnostics(spark, sf_dir):
     return rounded(rounded(df, 6, ("mean_residual",)))
 
 
+def weights_sql(source: str, key: str) -> str:
+    """CTEs up to ``w``: Shapiro-Wilk W of column x of ``source`` per key, by ranks and weights."""
+    near = f"q * {special.ratio_sql('(0.180625 - q * q)', special.NEAR)}"
+    far = f"sign(q) * {special.ratio_sql('(t - 1.6)', special.FAR)}"
+    farthest = f"sign(q) * {special.ratio_sql('(t - 5.0)', special.FARTHEST)}"
+    edge = lambda c: " + ".join(f"{v!r} * pow(1 / sqrt(n), {i})" for i, v in enumerate(c))
+    return f"""r AS (SELECT {key}, x, row_number() OVER (PARTITION BY {key} ORDER BY x) AS i,
+    count(*) OVER (PARTITION BY {key}) AS n, avg(x) OVER (PARTITION BY {key}) AS centre FROM {source}),
+    q AS (SELECT *, (i - 0.375) / (n + 0.25) - 0.5 AS q FROM r),
+    t AS (SELECT *, sqrt(-ln(0.5 - abs(q))) AS t FROM q),
+    m AS (SELECT *, CASE WHEN abs(q) <= 0.425 THEN {near} WHEN t <= 5 THEN {far} ELSE {farthest} END AS m FROM t),
+    s AS (SELECT {key}, n, sum(m * m) AS ss, max(m) FILTER (WHERE i = n) AS m1, max(m) FILTER (WHERE i = n - 1) AS m2
+    FROM m WHERE n >= 3 GROUP BY 1, 2),
+    a AS (SELECT *, CASE WHEN n = 3 THEN sqrt(0.5) ELSE m1 / sqrt(ss) + {edge(H.LAST_WEIGHT)} END AS a1,
+    CASE WHEN n > 5 THEN m2 / sqrt(ss) + {edge(H.NEXT_WEIGHT)} END AS a2 FROM s),
+    f AS (SELECT *, (ss - 2 * m1 * m1 - CASE WHEN n > 5 THEN 2 * m2 * m2 ELSE 0 END)
+    / (1 - 2 * a1 * a1 - coalesce(2 * a2 * a2, 0)) AS phi FROM a),
+    g AS (SELECT m.{key}, m.n, x - centre AS off, sign(m) * CASE WHEN least(i - 1, m.n - i) = 0 THEN a1
+    WHEN least(i - 1, m.n - i) = 1 AND a2 IS NOT NULL THEN a2 WHEN m = 0 THEN 0 ELSE abs(m) / sqrt(phi) END AS a
+    FROM m JOIN f ON m.{key} = f.{key}),
+    w AS (SELECT {key}, n, round(least(pow(sum(a * off), 2) / sum(off * off), 1.0), 6) AS w FROM g GROUP BY 1, 2)"""
+
+
 @query("shapiro")
 def shapiro(spark, sf_dir):
     return H.shapiro(table(spark, sf_dir, "events"), EVENTS.key, "value")
 
 
+@query(
+    "shapiro_w",
+    f"""WITH v AS (SELECT event_type, value AS x FROM events), {weights_sql('v', 'event_type')} SELECT * FROM w""",
+)
+def shapiro_w(spark, sf_dir):
+    return rounded(shapiro(spark, sf_dir).select("event_type", "n", "w"), 6)
+
+
+@query(
+    "shapiro_w_by_customer",
+    f"""WITH v AS (SELECT o_custkey, o_totalprice AS x FROM orders), {weights_sql('v', 'o_custkey')} SELECT * FROM w""",
+)
+def shapiro_w_by_customer(spark, sf_dir):
+    return rounded(shapiro_by_customer(spark, sf_dir).where("w is not null").select("o_custkey", "n", "w"), 6)
+
+
+@query(
+    "residual_checks",
+    f"""WITH {RES_SQL}, v AS (SELECT event_type, e AS x FROM res), {weights_sql('v', 'event_type')},
+    l AS (SELECT event_type, e, lag(e) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS p FROM res),
+    d AS (SELECT event_type, round(sum((e - p) * (e - p)) / sum(e * e), 6) AS durbin_watson,
+    round(stddev_pop(e), 6) AS std_residual, abs(corr(e, p)) < 0.2 AS is_white_noise FROM l GROUP BY 1)
+    SELECT event_type, n, w, durbin_watson, std_residual, is_white_noise FROM d JOIN w USING (event_type)""",
+)
+def residual_checks(spark, sf_dir):
+    df = H.residual_checks(H.trend_residuals(table(spark, sf_dir, "events"), EVENTS), EVENTS)
+    return rounded(df.select("event_type", "n", "w", "durbin_watson", "std_residual", "is_white_noise"), 6)
+
+
 @query("shapiro_by_customer")
 def shapiro_by_customer(spark, sf_dir):
     return H.shapiro(table(spark, sf_dir, "orders"), ("o_custkey",), "o_totalprice")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import reduce
 
@@ -29,6 +30,7 @@ def local_session(cores: int | str = 8, app: str = "obsframe") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -42,11 +44,13 @@ def broadcast_cells(spark: SparkSession) -> int:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in a local session without it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="obsframe-"))
         current = sc.getCheckpointDir()
     return current

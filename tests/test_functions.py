@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,11 +45,24 @@ def test_shapiro_published_example(spark):
 
 
 def test_shapiro_short_and_long(spark):
-    df = spark.range(5000).select(F.lit("long").alias("k"), F.col("id").cast("double").alias("v"))
-    df = df.unionByName(spark.createDataFrame([("two", 1.0), ("two", 2.0)], "k string, v double"))
+    rng = np.random.default_rng(5)
+    long = [("flat", float(v)) for v in range(5000)] + [("bell", v) for v in rng.normal(size=20_000).tolist()]
+    long += [("skewed", v) for v in rng.exponential(size=20_000).tolist()]
+    df = spark.createDataFrame([*long, ("two", 1.0), ("two", 2.0), *[("same", 3.0)] * 4], "k string, v double")
     got = {r.k: r for r in H.shapiro(df, ("k",), "v").collect()}
-    assert got["long"].p_value == 1.0 and not got["long"].normality_tested
-    assert got["two"].p_value is None
+    assert got["flat"].p_method == "royston" and not got["flat"].is_normal
+    assert got["bell"].p_method == "moments" and got["bell"].is_normal and got["bell"].w > 0.999
+    assert not got["skewed"].is_normal and got["skewed"].w < 0.9
+    assert got["two"].p_value is None and got["same"].p_value is None
+    skipped = {r.k: r for r in H.shapiro(df, ("k",), "v", skip_from=5000).collect()}
+    assert skipped["flat"].p_value == 1.0 and not skipped["flat"].normality_tested
+
+
+def test_normal_score_is_the_quantile(spark):
+    ps = [1e-300, 1e-12, 0.001, 0.074, 0.3, 0.5, 0.7, 0.926, 0.999, 1 - 1e-12]
+    df = spark.createDataFrame([(p,) for p in ps], "p double")
+    for r in df.select("p", special.normal_score(F.col("p")).alias("z")).collect():
+        assert r.z == pytest.approx(special.normal_quantile_value(r.p), abs=1e-12, rel=1e-12)
 
 
 def test_trend_needs_three_rows(spark):

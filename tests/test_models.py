@@ -77,8 +77,8 @@ def test_adf_equals_plain_regression(spark, planted, limit):
 
 def test_sums_are_the_same_when_keys_are_split(spark, split, planted):
     data, df = planted
-    g = {r.k: square(r.g) for r in gram(df, ("k",), F.array(F.lit(1.0), "value"), ("slot",)).collect()}
-    s = {r.k: r for r in vector_sum(df, ("k",), F.array("value"), ("slot",)).collect()}
+    g = {r.k: square(r.g) for r in gram(df, ("k",), F.array(F.lit(1.0), "value")).collect()}
+    s = {r.k: r for r in vector_sum(df, ("k",), F.array("value")).collect()}
     for k, y in data.items():
         assert g[k][0, 0] == len(y) and g[k][1, 1] == pytest.approx((y * y).sum())
         assert s[k].n == len(y) and s[k].s[0] == pytest.approx(y.sum())
