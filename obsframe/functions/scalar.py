@@ -22,10 +22,6 @@ def parse_ts(c: str) -> Column:
     return F.expr(f"try_cast(`{c}` AS timestamp_ntz)")
 
 
-def truncate(ts: str, unit: str) -> Column:
-    return F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
-
-
 def epoch_seconds_of(ts: Column) -> Column:
     return F.unix_seconds(ts.cast("timestamp"))
 
@@ -34,14 +30,6 @@ def epoch_seconds(ts: str) -> Column:
     return epoch_seconds_of(F.col(ts))
 
 
-def epoch_micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
-def from_micros(c: Column) -> Column:
-    return F.timestamp_micros(c).cast("timestamp_ntz")
-
-
 def slot(ts: str, seconds: int) -> Column:
     """Start of the fixed-width slot a timestamp falls in."""
     s = epoch_seconds(ts)

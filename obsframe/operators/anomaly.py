@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from obsframe.binding import Binding
 from obsframe.operators.ordering import quantiles
-from obsframe.session import attach, cut
+from obsframe.session import attach, cut, link
 
 MIN_ZSCORE, MIN_IQR = 3, 4
 
@@ -126,11 +127,18 @@ def consensus_share(df: DataFrame, b: Binding, consensus: DataFrame) -> DataFram
     return out.withColumn("consensus_pct", 100.0 * F.col("n_consensus") / F.col("n"))
 
 
-def compare_methods(scored: Mapping[str, DataFrame], b: Binding) -> DataFrame:
-    """Flagged count and share per key and method; unscored keys are ``insufficient``."""
+SCORES = ("score", "z_score", "lof")  # what the detectors call their score
+
+
+def compare_methods(scored: Mapping[str, DataFrame], b: Binding, df: DataFrame | None = None) -> DataFrame:
+    """Flagged count and share per key and method; unscored keys are ``insufficient``.
+
+    Detectors leave out keys that are too short for them: with ``df``, the rows they were given,
+    those keys are reported too.
+    """
     parts = []
     for method, frame in scored.items():
-        score = {"zscore": "z_score", "iqr": "score"}.get(method, "score")
+        score = next(c for c in SCORES if c in frame.columns)
         parts.append(
             frame.groupBy(*b.key).agg(
                 F.lit(method).alias("method"),
@@ -140,9 +148,28 @@ def compare_methods(scored: Mapping[str, DataFrame], b: Binding) -> DataFrame:
             )
         )
     out = reduce(DataFrame.unionByName, parts)
+    if df is not None:
+        methods = F.explode(F.array(*map(F.lit, scored))).alias("method")
+        every = df.groupBy(*b.key).agg(F.count(F.lit(1)).alias("__n")).select("*", methods)
+        out = link(every, out, (*b.key, "method"))
+        out = out.select(
+            *b.key, "method", F.coalesce("anomalies", F.lit(0)).alias("anomalies"),
+            F.coalesce("n", "__n").alias("n"), F.coalesce("status", F.lit("insufficient")).alias("status"),
+        )
     return out.withColumn("pct", 100.0 * F.col("anomalies") / F.col("n"))
 
 
+def timed_comparison(detectors: Mapping[str, Callable[[DataFrame], DataFrame]], df: DataFrame, b: Binding) -> DataFrame:
+    """Run each detector over ``df`` and compare them, with the seconds each one took."""
+    scored, seconds = {}, {}
+    for method, detect in detectors.items():
+        start = time.perf_counter()
+        scored[method] = cut(detect(df))
+        seconds[method] = time.perf_counter() - start
+    taken = F.coalesce(*[F.when(F.col("method") == m, F.lit(s)) for m, s in seconds.items()])
+    return compare_methods(scored, b, df).withColumn("elapsed_seconds", taken)
+
+
 def summary(df: DataFrame, b: Binding) -> DataFrame:
     """Counts and shares of both threshold detectors per key, from one scored frame."""
     scored = zscore(df, b).withColumnRenamed("is_anomaly", "__z")

@@ -63,13 +63,16 @@ def complete_everywhere(df: DataFrame, columns: Sequence[str]) -> bool:
     return not any(nulls)
 
 
-def kendall(df: DataFrame, b: Binding, key: Sequence[str] | None = None) -> DataFrame:
-    """Kendall tau-b per key for every pair of columns, without forming row pairs."""
+def kendall(df: DataFrame, b: Binding, key: Sequence[str] | None = None, scores: bool = False) -> DataFrame:
+    """Kendall tau-b per key for every pair of columns, without forming row pairs; ``scores`` adds its
+    normal score z, corrected for ties."""
     key = b.key if key is None else tuple(key)
     out = None
     for x, y in combinations(b.values, 2):
         rows = df.select(*key, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-        part = tau_b(rows, key).select(*key, F.lit(x).alias("var1"), F.lit(y).alias("var2"), "r", "n")
+        part = tau_b(rows, key).select(
+            *key, F.lit(x).alias("var1"), F.lit(y).alias("var2"), "r", "n", *(["z"] if scores else [])
+        )
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -87,7 +90,12 @@ def tau_b(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
     def ties(cols: list[str], name: str) -> DataFrame:
         counts = cells.groupBy(*key, *cols).agg(F.sum("c").alias("t")) if cols != ["x", "y"] else cells.withColumnRenamed("c", "t")
-        return counts.groupBy(*key).agg(F.sum(pairs_of(F.col("t"))).alias(name))
+        t = F.col("t").cast("double")
+        return counts.groupBy(*key).agg(
+            F.sum(pairs_of(t)).alias(name),
+            F.sum(t * (t - 1) * (t - 2)).alias(f"{name}_3"),
+            F.sum(t * (t - 1) * (2 * t + 5)).alias(f"{name}_v"),
+        )
 
     total = cells.groupBy(*key).agg(F.sum("c").alias("n"))
     for cols, name in ((["x"], "tx"), (["y"], "ty"), (["x", "y"], "txy")):
@@ -99,7 +107,13 @@ def tau_b(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     untied = n0 - F.col("tx") - F.col("ty") + F.col("txy")
     diff = untied - 2.0 * F.coalesce(F.col("d"), F.lit(0.0))
     scale = F.sqrt(n0 - F.col("tx")) * F.sqrt(n0 - F.col("ty"))
-    return out.withColumn("r", F.try_divide(diff, scale))
+    # variance of the difference where ties are given
+    n = F.col("n").cast("double")
+    base = (n * (n - 1) * (2 * n + 5) - F.col("tx_v") - F.col("ty_v")) / 18
+    pairs = F.try_divide(4 * F.col("tx") * F.col("ty"), 2 * n * (n - 1))
+    triples = F.try_divide(F.col("tx_3") * F.col("ty_3"), 9 * n * (n - 1) * (n - 2))
+    var = base + F.coalesce(pairs, F.lit(0.0)) + F.coalesce(triples, F.lit(0.0))
+    return out.withColumn("r", F.try_divide(diff, scale)).withColumn("z", F.try_divide(diff, F.sqrt(var)))
 
 
 def discordant(points: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -172,8 +186,8 @@ def with_p_value(pairs: DataFrame, method: str) -> DataFrame:
     """Two-sided p of r: t for Pearson and Spearman, normal approximation for Kendall."""
     n, r = F.col("n"), F.col("r")
     if method == "kendall":
-        z = F.try_divide(3.0 * r * F.sqrt(n * (n - 1)), F.sqrt(2.0 * (2 * n + 5)))
-        return pairs.withColumn("statistic", z).withColumn("p_value", special.normal_two_sided(F.col("statistic")))
+        named = pairs.withColumnRenamed("z", "statistic")
+        return named.withColumn("p_value", special.normal_two_sided(F.col("statistic")))
     t = F.when(F.abs(r) < 1, r * F.sqrt((n - 2) / (1 - r * r)))
     p = F.when(F.abs(r) >= 1, F.lit(0.0)).otherwise(special.t_two_sided(F.col("statistic"), n - 2))
     return pairs.withColumn("statistic", t).withColumn("p_value", p)
@@ -183,7 +197,7 @@ def strong_correlations(
     df: DataFrame, b: Binding, threshold: float = 0.7, method: str = "pearson", key: Sequence[str] = ()
 ) -> DataFrame:
     """Pairs whose correlation, rounded to three places, reaches the threshold; strongest first."""
-    pairs = METHODS[method](df, b, key)
+    pairs = kendall(df, b, key, scores=True) if method == "kendall" else METHODS[method](df, b, key)
     kept = pairs.where(F.abs(F.round("r", 3)) >= threshold)
     out = with_p_value(kept, method)
     return out.select(
@@ -192,13 +206,3 @@ def strong_correlations(
         sign_label(F.col("r")).alias("strength"),
         F.lit(method).alias("method"),
     ).orderBy(F.abs("r").desc())
-
-
-def matrix(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Both triangles and the diagonal of a pair table."""
-    flipped = pairs.select(*key, F.col("var2").alias("var1"), F.col("var1").alias("var2"), "r", "n")
-    names = pairs.select(*key, F.explode(F.array("var1", "var2")).alias("var1")).distinct()
-    diagonal = names.select(*key, "var1", F.col("var1").alias("var2"), F.lit(1.0).alias("r"), F.lit(None).cast("long").alias("n"))
-    return pairs.unionByName(flipped).unionByName(diagonal)
-
-

@@ -111,6 +111,22 @@ def method_comparison(spark, sf_dir):
     return rounded(N.compare_methods({"zscore": N.zscore(df, EVENTS), "iqr": N.iqr(df, EVENTS)}, EVENTS))
 
 
+@query(
+    "consensus_share",
+    f"""WITH {Z_SQL}, {FENCE_SQL}, u AS (SELECT event_type, event_id FROM z WHERE abs(z_score) > 3
+    UNION ALL SELECT event_type, event_id FROM q WHERE score > 0
+    UNION ALL SELECT event_type, event_id FROM z WHERE abs(z_score) > 4),
+    v AS (SELECT event_type, event_id FROM u GROUP BY 1, 2 HAVING count(*) >= 2),
+    c AS (SELECT event_type, count(*) AS hits FROM v GROUP BY 1),
+    t AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
+    SELECT event_type, n, coalesce(hits, 0) AS n_consensus, round(100.0 * coalesce(hits, 0) / n, 8) AS consensus_pct
+    FROM t LEFT JOIN c USING (event_type)""",
+)
+def consensus_share(spark, sf_dir):
+    consensus = N.vote(sql_members(spark, sf_dir), EVENTS, threshold=2)
+    return rounded(N.consensus_share(events(spark, sf_dir), EVENTS, consensus))
+
+
 @query(
     "anomaly_summary",
     f"""WITH {Z_SQL}, {FENCE_SQL}, a AS (SELECT event_type, count(*) AS n, count(*) FILTER (WHERE abs(z_score) > 3) AS z

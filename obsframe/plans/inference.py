@@ -63,6 +63,24 @@ def corr_kendall(spark, sf_dir):
     return rounded(C.kendall(table(spark, sf_dir, "events"), EVENTS.on("value", "user_id")))
 
 
+@query(
+    "kendall_score",
+    """WITH p AS (SELECT sum(sign(a.value - b.value) * sign(a.user_id - b.user_id)) AS s
+    FROM events a JOIN events b ON a.event_id < b.event_id),
+    x AS (SELECT count(*) AS t FROM events GROUP BY value), y AS (SELECT count(*) AS t FROM events GROUP BY user_id),
+    c AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM events),
+    vx AS (SELECT sum(t * (t - 1) * (2 * t + 5)) AS v, sum(t * (t - 1)) AS a, sum(t * (t - 1) * (t - 2)) AS b FROM x),
+    vy AS (SELECT sum(t * (t - 1) * (2 * t + 5)) AS v, sum(t * (t - 1)) AS a, sum(t * (t - 1) * (t - 2)) AS b FROM y)
+    SELECT 'value' AS var1, 'user_id' AS var2, CAST(n AS BIGINT) AS n,
+    round(s / sqrt((n * (n - 1) * (2 * n + 5) - vx.v - vy.v) / 18 + CAST(vx.a AS DOUBLE) * vy.a / (2 * n * (n - 1))
+    + CAST(vx.b AS DOUBLE) * vy.b / (9 * n * (n - 1) * (n - 2))), 6) + 0.0 AS statistic FROM p, c, vx, vy""",
+)
+def kendall_score(spark, sf_dir):
+    b = EVENTS.on("value", "user_id")
+    df = C.strong_correlations(table(spark, sf_dir, "events"), b, threshold=0.0, method="kendall")
+    return rounded(df.select("var1", "var2", "n", "statistic"), 6)
+
+
 DERIVED = ("l_quantity", "l_extendedprice", "revenue", "charge")
 DERIVED_SQL = """d AS (SELECT l_quantity, l_extendedprice, l_extendedprice * (1 - l_discount) AS revenue,
     l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem)"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from obsframe.operators.anomaly import zscore_baseline
 from obsframe.plans.registry import EVENTS, query, rounded, table
-from obsframe.session import scratch_dir
+from obsframe.session import cut, scratch_dir
 from obsframe.sources import observations as O
 from obsframe.streaming import live
 
@@ -79,16 +79,15 @@ def enrich_dimension(spark, sf_dir):
 
 @query(
     "dedup_append",
-    """WITH held AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0),
-    incoming AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT * FROM orders WHERE o_orderkey % 5 = 0)
-    SELECT * FROM held UNION ALL SELECT DISTINCT * FROM incoming
+    """WITH held AS (SELECT * FROM orders WHERE o_orderstatus = 'F')
+    SELECT * FROM held UNION ALL SELECT DISTINCT * FROM orders
     WHERE o_orderkey NOT IN (SELECT o_orderkey FROM held)""",
 )
 def dedup_append(spark, sf_dir):
-    """The target holds some orders; the batch repeats some of them and some of itself."""
+    """The target holds the finished orders; the batch has all orders, and the urgent ones twice."""
     orders = table(spark, sf_dir, "orders")
-    held = orders.where("o_orderkey % 3 = 0")
-    batch = orders.where("o_orderkey % 2 = 0").unionByName(orders.where("o_orderkey % 5 = 0"))
+    held = orders.where("o_orderstatus = 'F'")
+    batch = orders.unionByName(orders.where("o_orderpriority = '1-URGENT'"))
     return held.unionByName(O.new_rows(batch, held, ("o_orderkey",)))
 
 
@@ -119,10 +118,15 @@ def event_stream(spark, sf_dir):
     return live.read_stream(spark, sf_dir, schema, "events.parquet")
 
 
-@query("stream_tumbling", window_sql(6))
+@query(
+    "stream_tumbling",
+    f"""WITH s AS ({window_sql(6)}) SELECT * FROM s
+    WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+)
 def stream_tumbling(spark, sf_dir):
-    stats = live.window_stats(event_stream(spark, sf_dir), EVENTS)
-    return rounded(live.run_available(stats, "complete"), 10)
+    """Windows that the watermark has closed; their state is dropped once they are written."""
+    stats = live.window_stats(event_stream(spark, sf_dir), EVENTS, delay="2 hours")
+    return rounded(live.run_available(stats), 10)
 
 
 @query("stream_unique", "SELECT event_id, ts, event_type, value FROM events")
@@ -150,7 +154,8 @@ def stream_latest(spark, sf_dir):
     FROM events WINDOW w AS (PARTITION BY event_type)""",
 )
 def stream_zscore(spark, sf_dir):
-    history = zscore_baseline(table(spark, sf_dir, "events"), EVENTS)
+    # written once: otherwise every micro-batch would read all history again
+    history = cut(zscore_baseline(table(spark, sf_dir, "events"), EVENTS))
     stream = event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value")
     return rounded(live.run_available(live.online_zscore(stream, history, EVENTS)))
 

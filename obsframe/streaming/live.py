@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from obsframe.binding import Binding
 from obsframe.functions.scalar import ntz
 from obsframe.operators.anomaly import zscore_flags
-from obsframe.session import scratch_dir
+from obsframe.session import link, scratch_dir
 from obsframe.sources.observations import Parsed, parse_payload
 
 
@@ -60,8 +60,8 @@ def latest_values(stream: DataFrame, b: Binding) -> DataFrame:
 
 
 def online_zscore(stream: DataFrame, baseline: DataFrame, b: Binding, threshold: float = 3.0) -> DataFrame:
-    """Score arriving rows against a baseline computed beforehand (stream-static join)."""
-    return zscore_flags(stream.join(baseline, list(b.key), "left"), b, threshold)
+    """Score arriving rows against a stored baseline (stream-static join, null keys included)."""
+    return zscore_flags(link(stream, baseline, b.key), b, threshold)
 
 
 def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
