@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 from typing import Protocol
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +19,9 @@ from obsframe.functions import scalar as S
 from obsframe.operators import evaluate as E
 from obsframe.operators import filters
 from obsframe.operators import windows as X
-from obsframe.operators.least_squares import dot, gram, ols, solve_rows, square
-from obsframe.operators.ordering import numbered, over_order, same_rows
-from obsframe.operators.resample import future_grid, spacing
+from obsframe.operators.least_squares import dot, fields, gram, ols, solve_rows, square
+from obsframe.operators.ordering import largest_group, numbered, over_order, same_rows
+from obsframe.operators.resample import future_grid, spacing, validate_series
 from obsframe.operators.stationarity import adf
 from obsframe.session import attach, cut, link
 
@@ -36,6 +37,23 @@ class ForecastModel(Protocol):
         """(key, model, step, ts, forecast, lower, upper)"""
         ...
 
+    def status(self) -> DataFrame:
+        """(key, model, n, missing_pct, status): every key it was given, also those it cannot serve."""
+        ...
+
+
+def served(series: DataFrame, b: Binding, fitted: DataFrame, name: str) -> DataFrame:
+    """A row per key of ``series``: n, missing_pct, whether the model serves it, and why not.
+
+    ``insufficient`` keys have too few values for the model, ``warning`` ones miss many.
+    """
+    checked = validate_series(series, b).withColumnRenamed("status", "__status")
+    out = link(checked, fitted.select(*b.key).distinct().withColumn("__fitted", F.lit(True)), b.key)
+    status = F.when(F.col("__fitted"), F.when(F.col("__status") == "warning", "warning").otherwise("ok"))
+    return out.select(
+        *b.key, F.lit(name).alias("model"), "n", "missing_pct", F.coalesce(status, F.lit("insufficient")).alias("status")
+    )
+
 
 def shaped(df: DataFrame, b: Binding, name: str) -> DataFrame:
     return df.select(
@@ -47,7 +65,11 @@ def shaped(df: DataFrame, b: Binding, name: str) -> DataFrame:
 
 
 class SeasonalModel:
-    """Piecewise linear trend plus Fourier seasons, fitted by penalised least squares."""
+    """Piecewise linear trend plus Fourier seasons, fitted by penalised least squares.
+
+    The multiplicative form is trend x (1 + seasons): the trend is fitted first, then the seasons as shares of
+    it, both by least squares on all rows, whatever their sign.
+    """
 
     # seconds per period and Fourier order
     DAILY, WEEKLY, YEARLY = (86_400, 4), (604_800, 3), (31_557_600, 10)
@@ -70,60 +92,71 @@ class SeasonalModel:
         self.knots = [changepoint_range * (i + 1) / changepoints for i in range(changepoints)]
         self.penalty = changepoint_penalty
 
-    def design(self, ts: str) -> list[Column]:
+    def line(self, ts: str) -> list[Column]:
         t = S.epoch_seconds(ts)
         s = F.coalesce(F.try_divide(t - F.col("t0"), F.col("t1") - F.col("t0")), F.lit(0.0))
-        hinges = [F.greatest(s - F.lit(k), F.lit(0.0)) for k in self.knots]
-        waves = []
+        return [F.lit(1.0), s, *[F.greatest(s - F.lit(k), F.lit(0.0)) for k in self.knots]]
+
+    def waves(self, ts: str) -> list[Column]:
+        out = []
         for period, order in self.seasons:
             # the angle is taken of the remainder: the epoch itself would cost digits
-            turn = F.pmod(t, F.lit(period)) / period * (2 * math.pi)
+            turn = F.pmod(S.epoch_seconds(ts), F.lit(period)) / period * (2 * math.pi)
             for k in range(1, order + 1):
-                waves += [F.sin(turn * k), F.cos(turn * k)]
-        return [F.lit(1.0), s, *hinges, *waves]
-
-    def ridge(self) -> np.ndarray:
-        waves = 2 * sum(order for _, order in self.seasons)
-        return np.array([1e-6, 1e-6, *[self.penalty] * len(self.knots), *[1e-6] * waves])
+                out += [F.sin(turn * k), F.cos(turn * k)]
+        return out
 
     def fit(self, series: DataFrame, b: Binding) -> SeasonalModel:
         self.b, self.train = b, series
         ts, v = b.ts, b.value
-        known = series.where(F.col(v).isNotNull()).select(*b.key, ts, v)
-        if self.mode == "multiplicative":
-            known = known.where(F.col(v) > 0).withColumn(v, F.log(v))
+        known = series.where(F.col(v).isNotNull()).select(*b.key, ts, F.col(v).cast("double").alias(v))
         span = known.groupBy(*b.key).agg(
             F.min(S.epoch_seconds(ts)).alias("t0"), F.max(S.epoch_seconds(ts)).alias("t1"), F.count(v).alias("n")
         )
         span = cut(span)
         rows = attach(known, span.drop("n"), b.key)
-        sums = gram(rows, b.key, F.array(*self.design(ts), F.col(v).cast("double")))
-        ridge = self.ridge()
+        hinges = [1e-6, 1e-6, *[self.penalty] * len(self.knots)]
+        waves = [1e-6] * (2 * sum(order for _, order in self.seasons))
+        if self.mode == "additive":
+            self.coefficients = self.solved(rows, span, [*self.line(ts), *self.waves(ts)], hinges + waves, F.col(v))
+            return self
+        trend = self.solved(rows, span, self.line(ts), hinges, F.col(v))
+        rows = attach(rows, trend.select(*b.key, F.col("beta").alias("trend")), b.key)
+        rows = rows.withColumn("__g", dot("trend", F.array(*self.line(ts))))
+        shares = [F.col("__g") * w for w in self.waves(ts)]
+        season = self.solved(rows, span, shares, waves, F.col(v) - F.col("__g"))
+        trend = trend.select(*b.key, F.col("beta").alias("trend"))
+        self.coefficients = cut(link(season, trend, b.key, "inner"))
+        return self
+
+    def solved(self, rows: DataFrame, span: DataFrame, design: list[Column], ridge: list[float], y: Column) -> DataFrame:
+        """Coefficients and residual spread of y on the design, per key."""
+        sums = gram(rows, self.b.key, F.array(*design, y))
 
         def solve(r: dict):
             g = square(r["g"])
             p = len(g) - 1
-            beta, ssr = ols(g, range(p), p, ridge)
+            beta, ssr = ols(g, range(p), p, np.array(ridge))
             yield {"beta": beta, "sigma": math.sqrt(ssr / r["n"])}
 
-        self.coefficients = cut(
-            solve_rows(link(span, sums, b.key, "inner"), [*b.key, "t0", "t1"], solve, "beta array<double>, sigma double")
-        )
-        return self
+        keep = [*self.b.key, "t0", "t1"]
+        return cut(solve_rows(link(span, sums, self.b.key, "inner"), keep, solve, "beta array<double>, sigma double"))
 
     def predict(self, steps: int = 24, level: float = 0.95) -> DataFrame:
         b = self.b
-        grid = future_grid(self.train, b, steps)
-        rows = link(grid, self.coefficients, b.key, "inner")
-        z = E.z_value(level)
-        line = dot("beta", F.array(*self.design("ts")))
-        out = rows.withColumn("__f", line)
-        back = F.exp if self.mode == "multiplicative" else (lambda c: c)
-        out = out.withColumn("forecast", back(F.col("__f")))
-        out = out.withColumn("lower", back(F.col("__f") - z * F.col("sigma")))
-        out = out.withColumn("upper", back(F.col("__f") + z * F.col("sigma")))
+        rows = link(future_grid(self.train, b, steps), self.coefficients, b.key, "inner")
+        if self.mode == "additive":
+            value = dot("beta", F.array(*self.line("ts"), *self.waves("ts")))
+        else:
+            value = dot("trend", F.array(*self.line("ts"))) * (1 + dot("beta", F.array(*self.waves("ts"))))
+        half = E.z_value(level) * F.col("sigma")
+        out = rows.withColumn("forecast", value)
+        out = out.withColumn("lower", F.col("forecast") - half).withColumn("upper", F.col("forecast") + half)
         return shaped(out, b, self.name)
 
+    def status(self) -> DataFrame:
+        return served(self.train, self.b, self.coefficients, self.name)
+
 
 # ---------------------------------------------------------------- ARIMA
 
@@ -217,6 +250,9 @@ class ArimaModel:
         self.coefficients = cut(fitted)
         return self
 
+    def status(self) -> DataFrame:
+        return served(self.train, self.b, self.coefficients, self.name)
+
     def orders(self) -> DataFrame:
         return self.coefficients.select(*self.b.key, "n", "p", "d", "q", "beta", "sigma2", "aic")
 
@@ -250,13 +286,16 @@ class ArimaModel:
 # ---------------------------------------------------------------- trees
 
 
+TASK_ROWS = 20_000  # rows that one task goes over in training
+
+
 class TreeModel:
     """Tree ensemble on lagged features, one model over all keys, rolled forward step by step."""
 
     MEMORY = max(X.FORECAST_LAGS)
 
-    def __init__(self, name: str, estimator: Callable, holdout: float = 0.8, cut_every: int = 1):
-        self.name, self.estimator, self.holdout, self.cut_every = name, estimator, holdout, cut_every
+    def __init__(self, name: str, estimator: Callable, holdout: float = 0.8):
+        self.name, self.estimator, self.holdout = name, estimator, holdout
 
     def inputs(self) -> list[str]:
         return [*X.feature_names(self.b.value), "key_level"]
@@ -265,21 +304,26 @@ class TreeModel:
         stage = VectorAssembler(inputCols=self.inputs(), outputCol="features", handleInvalid="skip")
         return stage.transform(df)
 
-    def fit(self, series: DataFrame, b: Binding) -> TreeModel:
+    def fit(self, series: DataFrame, b: Binding, band: bool = True) -> TreeModel:
+        """``band`` fits a second time on the first part of each key, for the spread of the residuals; without
+        it the bounds are null."""
         self.b = b
         v = b.value
-        series = series.select(*b.key, *b.order, v)
+        self.train = series = series.select(*b.key, *b.order, v)
         # the level tells the keys apart however many there are
         self.levels = cut(series.groupBy(*b.key).agg(F.avg(v).alias("key_level")))
         frame = attach(X.forecast_features(series, b), self.levels, b.key)
         frame = cut(X.holdout_split(frame, b, self.holdout))
         ready = self.assemble(frame).select(*b.key, "split", F.col(v).alias("label"), "features")
         ready = cut(ready)
-        first = self.estimator().fit(ready.where("split = 'train'"))
-        held = first.transform(ready.where("split = 'test'"))
-        self.spread = cut(
-            held.groupBy(*b.key).agg(F.stddev_pop(F.col("label") - F.col("prediction")).alias("resid_std"))
-        )
+        # training goes over the rows many times: no more tasks than they fill
+        ready = ready.coalesce(max(1, -(-ready.count() // TASK_ROWS)))
+        resid = F.lit(None).cast("double")
+        held = ready.where("split = 'test'")
+        if band:
+            first = self.estimator().fit(ready.where("split = 'train'"))
+            held, resid = first.transform(held), F.stddev_pop(F.col("label") - F.col("prediction"))
+        self.spread = cut(held.groupBy(*b.key).agg(resid.alias("resid_std") if band else F.first(resid).alias("resid_std")))
         self.model = self.estimator().fit(ready)
         newest = filters.recent_per_key(series.where(F.col(v).isNotNull()), b, self.MEMORY)
         memory = newest.groupBy(*b.key).agg(
@@ -293,38 +337,33 @@ class TreeModel:
         self.state = cut(state.where(F.size("memory") == self.MEMORY))
         return self
 
-    def features(self) -> dict[str, Column]:
-        v, mem = self.b.value, F.col("memory")
-        out = {f"{v}_lag_{n}": F.element_at(mem, -n) for n in X.FORECAST_LAGS}
-        for n in X.ROLLING:
-            part = F.slice(mem, -n, n)
-            mean = F.aggregate(part, F.lit(0.0), lambda s, x: s + x) / n
-            out[f"{v}_rolling_mean_{n}"] = mean
-            out[f"{v}_rolling_std_{n}"] = F.sqrt(squares_about(part, mean) / (n - 1))
-        return out
-
     def predict(self, steps: int = 24, level: float = 0.95) -> DataFrame:
+        """All steps in one pass: the fitted trees travel as arrays, and every batch of keys rolls them forward."""
         b = self.b
-        keep = [*b.key, "memory", "last_ts", "spacing", "key_level", "resid_std", "path"]
-        state = self.state.withColumn("path", F.array().cast("array<double>"))
-        # the step is read off the path, so that every round has the same plan and
-        # the code generated for the first one serves them all
-        at = S.epoch_seconds("last_ts") + (F.size("path") + 1) * F.col("spacing")
-        ts = F.timestamp_seconds(at).cast("timestamp_ntz")
-        value = F.array("prediction")
-        longer = F.slice(F.concat("memory", value), 2, self.MEMORY)
-        for step in range(1, steps + 1):
-            rows = state.withColumn("__ts", ts)
-            rows = rows.withColumns(self.features() | X.calendar_features("__ts"))
-            rows = self.model.transform(self.assemble(rows))
-            state = rows.withColumns({"memory": longer, "path": F.concat("path", value)}).select(*keep)
-            if step % self.cut_every == 0:
-                state = cut(state)
-        out = state.select("*", F.posexplode("path").alias("__i", "forecast")).withColumn("step", F.col("__i") + 1)
-        ts = F.timestamp_seconds(S.epoch_seconds("last_ts") + F.col("step") * F.col("spacing")).cast("timestamp_ntz")
-        half = F.col("resid_std") * E.z_value(level)
-        out = out.withColumn("ts", ts).withColumn("lower", F.col("forecast") - half)
-        return shaped(out.withColumn("upper", F.col("forecast") + half), b, self.name)
+        grown = Trees.of(self.model)  # bounded by the model's size, not by the data
+        z, memory, last = E.z_value(level), self.MEMORY, "__last"
+        rows = self.state.withColumn(last, S.epoch_seconds("last_ts"))
+        rows = rows.select(*b.key, "memory", last, "spacing", "key_level", "resid_std")
+
+        def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                past = np.stack(pdf["memory"].to_numpy()) if len(pdf) else np.zeros((0, memory))
+                at, width = pdf[last].to_numpy(), pdf["spacing"].to_numpy()
+                half = z * pdf["resid_std"].to_numpy(dtype=float)
+                for step in range(1, steps + 1):
+                    x = np.column_stack([tree_inputs(past, at + step * width), pdf["key_level"].to_numpy(dtype=float)])
+                    value = grown.predict(x)
+                    past = np.column_stack([past[:, 1:], value])
+                    out = pdf[[*b.key, last, "spacing"]].assign(step=step, forecast=value)
+                    yield out.assign(lower=value - half, upper=value + half)
+
+        shape = "step int, forecast double, lower double, upper double"
+        out = rows.mapInPandas(roll, ", ".join([*fields(rows, [*b.key, last, "spacing"]), shape]))
+        ts = F.timestamp_seconds(F.col(last) + F.col("step") * F.col("spacing")).cast("timestamp_ntz")
+        return shaped(out.withColumn("ts", ts), b, self.name)
+
+    def status(self) -> DataFrame:
+        return served(self.train, self.b, self.state, self.name)
 
     def feature_importance(self) -> DataFrame:
         """Share of each input in the fitted model, largest first."""
@@ -333,8 +372,75 @@ class TreeModel:
         return df.orderBy(F.col("importance").desc(), "feature")
 
 
-def squares_about(values: Column, mean: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
+def tree_inputs(past: np.ndarray, seconds: np.ndarray) -> np.ndarray:
+    """The inputs that :func:`windows.feature_names` lists, from past values (newest last) and the time."""
+    columns = [past[:, -n] for n in X.FORECAST_LAGS]
+    for n in X.ROLLING:
+        columns += [past[:, -n:].mean(axis=1), past[:, -n:].std(axis=1, ddof=1)]
+    at = pd.to_datetime(seconds, unit="s")
+    parts = {"hour": at.hour, "day_of_week": at.dayofweek, "month": at.month, "day_of_year": at.dayofyear}
+    columns += [np.asarray(v) for v in parts.values()]
+    for part in ("hour", "month"):
+        angle = 2 * math.pi * np.asarray(parts[part]) / S.CYCLES[part]
+        columns += [np.sin(angle), np.cos(angle)]
+    columns.append(np.isin(parts["day_of_week"], S.WEEKEND))
+    columns.append((parts["hour"] >= S.DAYTIME[0]) & (parts["hour"] <= S.DAYTIME[1]))
+    return np.column_stack(columns).astype(float)
+
+
+class Trees:
+    """A fitted tree ensemble as node arrays (tree by node), read off its printed form."""
+
+    def __init__(self, trees: list[list[tuple]], weights: Sequence[float]):
+        self.weights, nodes = np.asarray(weights), max(map(len, trees))
+        self.feature, self.left, self.right = (np.zeros((len(trees), nodes), int) for _ in range(3))
+        self.cut, self.value = (np.zeros((len(trees), nodes)) for _ in range(2))
+        for t, grown in enumerate(trees):
+            for i, (feature, cut_at, left, right, value) in enumerate(grown):
+                self.feature[t, i], self.cut[t, i], self.left[t, i] = feature, cut_at, left
+                self.right[t, i], self.value[t, i] = right, value
+        self.depth = max(map(depth_of, trees))
+
+    @classmethod
+    def of(cls, model) -> Trees:
+        trees: list[list[tuple]] = []
+        for line in model.toDebugString.splitlines()[1:]:
+            words = line.split()
+            if words[0] == "Tree":
+                trees.append([])
+                open_nodes: list[int] = []  # splits whose right branch is still to come
+                continue
+            nodes = trees[-1]
+            if words[0] == "Else":
+                parent = open_nodes.pop()
+                nodes[parent] = (*nodes[parent][:3], len(nodes), 0.0)
+            elif words[0] == "If":  # If (feature 3 <= 0.5): the left branch comes next
+                open_nodes.append(len(nodes))
+                nodes.append((int(words[2]), float(words[4].rstrip(")")), len(nodes) + 1, 0, 0.0))
+            else:  # a leaf leads to itself
+                nodes.append((0, math.inf, len(nodes), len(nodes), float(words[1])))
+        boosted_sum = isinstance(model, GBTRegressionModel)
+        return cls(trees, model.treeWeights if boosted_sum else [1.0 / len(trees)] * len(trees))
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        t, out = np.arange(len(self.left))[None, :], np.empty(len(x))
+        for start in range(0, len(x), 1024):
+            part = x[start : start + 1024]
+            at, row = np.zeros((len(part), t.shape[1]), int), np.arange(len(part))[:, None]
+            for _ in range(self.depth):
+                below = part[row, self.feature[t, at]] <= self.cut[t, at]
+                at = np.where(below, self.left[t, at], self.right[t, at])
+            out[start : start + 1024] = self.value[t, at] @ self.weights
+        return out
+
+
+def depth_of(nodes: list[tuple]) -> int:
+    """Longest way from the first node to a leaf; children come after their parent."""
+    below = [0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        left, right = nodes[i][2:4]
+        below[i] = 0 if left == i else 1 + max(below[left], below[right])
+    return below[0]
 
 
 def boosted(rounds: int = 100, depth: int = 6, rate: float = 0.1) -> TreeModel:
@@ -375,6 +481,12 @@ def numbered_steps(placed: DataFrame, b: Binding, first: Column) -> tuple[DataFr
     return train, test, test.agg(F.max("step")).first()[0] or 0
 
 
+def fitted(models: Sequence[ForecastModel], series: DataFrame, b: Binding) -> None:
+    """Fit the members where only their forecasts are wanted, not their bands."""
+    for m in models:
+        m.fit(series, b, band=False) if isinstance(m, TreeModel) else m.fit(series, b)
+
+
 def all_predictions(models: Sequence[ForecastModel], steps: int, level: float = 0.95) -> DataFrame:
     return reduce(DataFrame.unionByName, [m.predict(steps, level) for m in models])
 
@@ -382,8 +494,7 @@ def all_predictions(models: Sequence[ForecastModel], steps: int, level: float =
 def evaluate(models: Sequence[ForecastModel], series: DataFrame, b: Binding, fraction: float = 0.8) -> DataFrame:
     """Fit on the first part, forecast the rest, and return the accuracy of every key and model."""
     train, test, steps = holdout(series, b, fraction)
-    for m in models:
-        m.fit(train, b)
+    fitted(models, train, b)
     pairs = E.match_actuals(all_predictions(models, steps), test, b)
     return E.metrics(pairs, (*b.key, "model"))
 
@@ -401,13 +512,16 @@ class WeightedEnsemble:
     def measure(self, series: DataFrame, b: Binding) -> tuple[DataFrame, DataFrame, int]:
         return holdout(series, b, 0.8)
 
+    def status(self) -> DataFrame:
+        """A row per key and member."""
+        return reduce(DataFrame.unionByName, [m.status() for m in self.models])
+
     def fit(self, series: DataFrame, b: Binding) -> WeightedEnsemble:
         self.b = b
-        series = series.select(*b.key, *b.order, b.value)
+        self.train = series = series.select(*b.key, *b.order, b.value)
         if self.method == "performance":
             train, test, steps = self.measure(series, b)
-            for m in self.models:
-                m.fit(train, b)
+            fitted(self.models, train, b)
             pairs = E.match_actuals(all_predictions(self.models, steps), test, b)
             self.weights = cut(E.performance_weights(E.metrics(pairs, (*b.key, "model")), b))
         elif self.method == "equal":
@@ -425,7 +539,7 @@ class WeightedEnsemble:
 
 
 class DynamicEnsemble(WeightedEnsemble):
-    """Weights from the accuracy over the newest ``window`` rows of each key."""
+    """Weights from the accuracy over the newest ``window`` rows of each key, renewed every ``every`` rows."""
 
     def __init__(self, models: Sequence[ForecastModel], window: int = 24, every: int = 6):
         super().__init__(models, "performance")
@@ -434,6 +548,13 @@ class DynamicEnsemble(WeightedEnsemble):
     def measure(self, series: DataFrame, b: Binding) -> tuple[DataFrame, DataFrame, int]:
         return last_rows(series, b, self.window)
 
+    def renew(self, series: DataFrame) -> bool:
+        """Take in a longer series: weights and members are fitted anew once some key has grown by ``every`` rows."""
+        if largest_group(series, self.b.key) - largest_group(self.train, self.b.key) < self.every:
+            return False
+        self.fit(series, self.b)
+        return True
+
 
 class StackingEnsemble:
     """A second model learns how to combine its members' forecasts of the held-out rows."""
@@ -443,6 +564,10 @@ class StackingEnsemble:
             raise ValueError(f"unknown meta learner {meta!r}")
         self.name, self.models, self.meta = "stacking", list(models), meta
 
+    def status(self) -> DataFrame:
+        """A row per key and member."""
+        return reduce(DataFrame.unionByName, [m.status() for m in self.models])
+
     def wide(self, predictions: DataFrame) -> DataFrame:
         names = [m.name for m in self.models]
         picks = [F.max(F.when(F.col("model") == n, F.col("forecast"))).alias(n) for n in names]
@@ -452,8 +577,7 @@ class StackingEnsemble:
         self.b = b
         series = series.select(*b.key, *b.order, b.value)
         train, test, steps = holdout(series, b, 0.7)
-        for m in self.models:
-            m.fit(train, b)
+        fitted(self.models, train, b)
         names = [m.name for m in self.models]
         rows = link(self.wide(all_predictions(self.models, steps)), test, (*b.key, "step"), "inner")
         rows = cut(rows.dropna(subset=[*names, "actual"]))

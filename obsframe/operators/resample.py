@@ -133,6 +133,18 @@ def component_strength(parts: DataFrame, b: Binding) -> DataFrame:
     )
 
 
+def decomposition_sentence(strengths: DataFrame) -> DataFrame:
+    """``strengths`` with a sentence about trend, season and noise of each key."""
+    trend = F.when(
+        F.col("trend_label") == "weak", F.format_string("hardly any trend (%.2f)", "trend_strength")
+    ).otherwise(F.format_string("a %s %s trend (%.2f)", "trend_label", "trend_direction", "trend_strength"))
+    season = F.when(F.col("seasonal_label") == "weak", "hardly any season").otherwise(
+        F.format_string("a %s season of %.1f either way", "seasonal_label", "seasonal_half_range")
+    )
+    noise = F.format_string("noise of %.2f", "residual_std")
+    return strengths.withColumn("interpretation", F.concat_ws("; ", trend, season, noise))
+
+
 def validate_series(df: DataFrame, b: Binding, min_points: int = 30, max_missing_pct: float = 20.0) -> DataFrame:
     """Whether each key can be modelled: enough points, not too many missing."""
     n = F.count(F.lit(1))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from obsframe.operators import models as M
 from obsframe.operators import stationarity
-from obsframe.plans.registry import query, rounded
+from obsframe.plans.registry import query, rounded, table
 from obsframe.plans.series import GRID, HOURS, hourly
 
-ROUNDS = 10  # boosting rounds in the registered queries; the API default is 100
+ROUNDS = TREES = 100
 
 
 def series(spark, sf_dir):
@@ -57,20 +57,41 @@ def forecast_gbt(spark, sf_dir):
     return M.boosted(ROUNDS).fit(series(spark, sf_dir), GRID).predict(24)
 
 
+@query("forecast_gbt_wide")
+def forecast_gbt_wide(spark, sf_dir):
+    return M.boosted_wide(ROUNDS).fit(series(spark, sf_dir), GRID).predict(24)
+
+
 @query("forecast_rf")
 def forecast_rf(spark, sf_dir):
-    return M.forest(20).fit(series(spark, sf_dir), GRID).predict(24)
+    return M.forest(TREES).fit(series(spark, sf_dir), GRID).predict(24)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    return M.forest(20).fit(series(spark, sf_dir), GRID).feature_importance()
+    return M.forest(TREES).fit(series(spark, sf_dir), GRID).feature_importance()
 
 
 @query("model_evaluation")
 def model_evaluation(spark, sf_dir):
-    models = [M.SeasonalModel(), M.ArimaModel()]
-    return M.E.leaderboard(M.evaluate(models, series(spark, sf_dir), GRID), GRID)
+    """All model kinds on the same held-out part."""
+    models = M.default_ensemble(rounds=ROUNDS, trees=TREES).models
+    return M.E.leaderboard(M.evaluate([*models, M.SeasonalModel("multiplicative")], series(spark, sf_dir), GRID), GRID)
+
+
+USERS = GRID.__class__(key=("user_id",), ts="ts", values=("value",), id=("event_id",))
+
+
+@query(
+    "model_status",
+    """WITH e AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)
+    SELECT user_id, 'arima' AS model, n, 0.0::DOUBLE AS missing_pct,
+    CASE WHEN n >= 14 THEN 'ok' ELSE 'insufficient' END AS status FROM e""",
+)
+def model_status(spark, sf_dir):
+    """Short series stay in sight: ten lags, a difference and two more lags need fourteen values."""
+    model = M.ArimaModel(order=(1, 1, 1)).fit(table(spark, sf_dir, "events"), USERS)
+    return model.status()
 
 
 @query("ensemble_stacking")

@@ -201,6 +201,24 @@ def component_strength(spark, sf_dir):
     return rounded(R.component_strength(parts, EVENTS), 6)
 
 
+@query(
+    "decomposition_sentence",
+    f"""WITH {parts_sql('additive')}, g AS (SELECT event_type,
+    greatest(0.0, 1 - var_samp(resid) / (var_samp(trend + resid) FILTER (WHERE resid IS NOT NULL))) AS ts,
+    greatest(0.0, 1 - var_samp(resid) / (var_samp(seasonal + resid) FILTER (WHERE resid IS NOT NULL))) AS ss,
+    stddev_samp(resid) AS sd, (max(seasonal) - min(seasonal)) / 2 AS half,
+    CASE WHEN arg_max(trend, slot) FILTER (WHERE trend IS NOT NULL) > arg_min(trend, slot)
+    FILTER (WHERE trend IS NOT NULL) THEN 'increasing' ELSE 'decreasing' END AS way FROM parts GROUP BY 1),
+    l AS (SELECT *, {strength_label('ts')} AS tl, {strength_label('ss')} AS sl FROM g)
+    SELECT event_type, concat_ws('; ', CASE WHEN tl = 'weak' THEN printf('hardly any trend (%.2f)', ts)
+    ELSE printf('a %s %s trend (%.2f)', tl, way, ts) END, CASE WHEN sl = 'weak' THEN 'hardly any season'
+    ELSE printf('a %s season of %.1f either way', sl, half) END, printf('noise of %.2f', sd)) AS interpretation FROM l""",
+)
+def decomposition_sentence(spark, sf_dir):
+    strengths = R.component_strength(R.decompose(hourly(spark, sf_dir), EVENTS), EVENTS)
+    return R.decomposition_sentence(strengths).select("event_type", "interpretation")
+
+
 HWIN = "OVER (PARTITION BY event_type ORDER BY slot"
 
 

@@ -125,6 +125,23 @@ def test_trees_roll_forward(planted):
     assert sum(shares) == pytest.approx(1.0) and shares == sorted(shares, reverse=True)
 
 
+@pytest.mark.parametrize("make", [lambda: M.forest(trees=4, depth=6), lambda: M.boosted(rounds=4, depth=4), lambda: M.boosted_wide(rounds=3)])
+def test_rolled_trees_are_the_fitted_trees(planted, make):
+    """Arrays give what the fitted model gives, on rows that Spark built the features of."""
+    _, df = planted
+    model = make().fit(df, B)
+    frame_ = M.attach(M.X.forecast_features(df, B), model.levels, B.key)
+    rows = model.model.transform(model.assemble(frame_)).select("features", "prediction").limit(300).toPandas()
+    x = np.stack([v.toArray() for v in rows["features"]])
+    np.testing.assert_allclose(M.Trees.of(model.model).predict(x), rows["prediction"], rtol=1e-12)
+    # the first step's inputs, by the functions that training used
+    past = df.where("k = 'ar'").orderBy("slot").toPandas()
+    last = past.slot.iloc[-25:]
+    mine = M.tree_inputs(past["value"].to_numpy()[None, -25:-1], np.array([last.iloc[-1].timestamp()]))
+    built = M.X.forecast_features(df.where("k = 'ar'"), B).orderBy(F.desc("slot")).first()
+    np.testing.assert_allclose(mine[0], [float(built[c]) for c in M.X.feature_names("value")], atol=1e-9)
+
+
 def test_ensembles(planted):
     _, df = planted
     members = lambda: [M.SeasonalModel(), M.ArimaModel(order=(1, 0, 0))]
