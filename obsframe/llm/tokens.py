@@ -22,9 +22,9 @@ from obsframe.llm.common import fits, scratch_path, stored, table, tasks, text_o
 
 SHARD_TOKENS = 4_000_000
 #: Words that a Python worker remembers between batches.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Bytes of text whose words are looked at together.
-TOGETHER = 16 << 20
+TOGETHER = 6 << 20
 END_ID = 1
 # Between records of a file Spark puts a separator: an empty skippable zstd frame.
 SEPARATOR = "P*M\x18\x00\x00\x00\x00"
@@ -178,6 +178,7 @@ def _shards(path: str, shard_tokens: int):
                         yield close()
         if ids:
             yield close()
+        pa.default_memory_pool().release_unused()  # the worker lives on with its words alone
 
     return run
 
@@ -259,6 +260,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             for some in _together(batch):
                 counts = encoder(path).encode(some.column("text"))[1]
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(counts + 1, pa.int64())], ["doc_id", "n_tokens"])
+        pa.default_memory_pool().release_unused()  # the worker lives on with its words alone
 
     kept = docs.select("doc_id", F.make_valid_utf8(text_of()).alias("text"))
     return kept.mapInArrow(run, T.StructType([kept.schema["doc_id"], T.StructField("n_tokens", T.LongType())]))
