@@ -16,7 +16,7 @@ from obsframe.functions import special
 from obsframe.functions.scalar import sign_label
 from obsframe.operators.aggregates import tall
 from obsframe.operators.ordering import average_rank, largest_group, positions
-from obsframe.session import cut, group_rows, link
+from obsframe.session import attach, cut, group_rows, link
 
 
 def pearson(df: DataFrame, b: Binding, key: Sequence[str] | None = None) -> DataFrame:
@@ -143,7 +143,7 @@ def discordant(points: DataFrame, key: Sequence[str]) -> DataFrame:
         runs = runs.select(
             *key, c, (2 * F.floor(F.col("__first") / width) + (F.col("__len") >= width).cast("int")).alias(f"__c{c}")
         )
-        points = link(placed.drop("__p"), runs, (*key, c), "inner")
+        points = attach(placed.drop("__p"), runs, (*key, c), "inner")
     points = cut(points)
     depth = len(key)
     same_x, same_y = f"__gx{depth}", f"__gy{depth}"

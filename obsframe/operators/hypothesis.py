@@ -281,7 +281,7 @@ def mann_whitney(df: DataFrame, b: Binding, pairs: DataFrame) -> DataFrame:
     # ``pairs`` holds the caller's own arguments, so its size is theirs; a row
     # reaches only the pairs its key is part of
     sides = pairs.select("key_a", "key_b", F.explode(F.array("key_a", "key_b")).alias("__k")).distinct()
-    rows = rows.join(F.broadcast(sides), "__k").where(in_pair)
+    rows = rows.join(bounded(sides), "__k").where(in_pair)
     pair = ("key_a", "key_b")
     ranked = average_rank(rows, pair, "__v", "__rank")
     first = F.col("__k") == F.col("key_a")

@@ -176,4 +176,5 @@ def average_rank(df: DataFrame, key: Sequence[str], value: str, name: str, desce
     signed = df.withColumn("__v", -F.col(value) if descending else F.col(value))
     placed = positions(signed, key, ["__v"], "__pos")
     ranks = placed.groupBy(*key, "__v").agg((F.avg("__pos") + 1).alias(name))
-    return link(placed.drop("__pos"), ranks, (*key, "__v"), "inner").drop("__v")
+    # few distinct values: no shuffle, so that one value's ties stay where they are
+    return attach(placed.drop("__pos"), ranks, (*key, "__v"), "inner").drop("__v")

@@ -75,6 +75,44 @@ def test_detectors_find_outliers(spark, cloud, name, limit):
         assert out.set_index("id").loc[[5, 400], "is_anomaly"].all()
 
 
+@pytest.mark.parametrize("name", ["envelope", "svm", "svm_linear"])
+def test_flags_do_not_depend_on_the_group_limit(spark, cloud, name):
+    _, df = cloud
+    found = []
+    for limit in ("1000000", "100"):
+        spark.conf.set("spark.obsframe.maxGroupRows", limit)
+        try:
+            found.append(DETECTORS[name](df).toPandas().set_index("id").sort_index())
+        finally:
+            spark.conf.unset("spark.obsframe.maxGroupRows")
+    assert (found[0].is_anomaly == found[1].is_anomaly).all()
+    np.testing.assert_allclose(found[0].score, found[1].score, rtol=1e-6, atol=1e-9)
+
+
+def test_pool_is_the_least_hashes(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, "hot").alias("k"), "id", F.col("id").cast("double").alias("x"))
+    b = Binding(key=("k",), ts="id", values=("x",), id=("id",))
+    got = D.seeded_pool(df.repartition(6), b, 40).toPandas()
+    rows = df.select("k", "id", F.xxhash64(F.lit(D.SEED), "id").alias("h")).toPandas()
+    for k in ("hot", None):
+        part = rows[rows.k.isna() if k is None else rows.k == k]
+        mine = got[got.k.isna() if k is None else got.k == k].sort_values("__r")
+        assert mine.id.tolist() == part.sort_values(["h", "id"]).id.head(40).tolist()
+
+
+def test_six_methods_and_short_keys(spark):
+    rows = [("short", i, 1.0 * i, 2.0) for i in range(2)] + [("long", i + 10, (i * 7 % 31) / 3.0, (i * 5 % 17) / 2.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, id int, x double, y double")
+    methods = {
+        "zscore": lambda d: N.zscore(d, B), "iqr": lambda d: N.iqr(d, B), "lof": lambda d: local_outlier_factor(d, B, 5),
+        "forest": lambda d: D.isolation_forest(d, B, trees=5, sample=16), "svm": lambda d: D.one_class_svm(d, B, rounds=3),
+        "envelope": lambda d: D.elliptic_envelope(d, B, rounds=3),
+    }
+    got = {(r.k, r.method): r for r in N.timed_comparison(methods, df, B).collect()}
+    assert len(got) == 12 and all(r.elapsed_seconds > 0 for r in got.values())
+    assert {got["short", m].status for m in methods} == {"insufficient"} and {got["long", m].status for m in methods} == {"ok"}
+
+
 def test_short_keys_and_flat_keys(spark):
     rows = [("short", i, 1.0 * i, 2.0) for i in range(2)] + [("flat", i + 10, 3.0, 3.0) for i in range(12)]
     df = spark.createDataFrame(rows, "k string, id int, x double, y double")

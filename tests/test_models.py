@@ -111,10 +111,38 @@ def check_forecast(df, keys, steps):
     assert {r.step for r in rows} == set(range(1, steps + 1))
 
 
-def test_multiplicative_needs_positive(planted, spark):
+def test_multiplicative_takes_all_rows(spark):
+    i = np.arange(24 * 14)
+    wave = 1 + 0.4 * np.sin(2 * math.pi * i / 24)
+    df = frame(spark, {"grows": (20 + 0.05 * i) * wave, "sinks": (6 - 0.04 * i) * wave, "negative": -(20 + 0.05 * i) * wave})
+    model = M.SeasonalModel("multiplicative", weekly=False).fit(df, B)
+    check_forecast(model.predict(6), 3, 6)
+    got = {(r.k, r.step): r.forecast for r in model.predict(6).collect()}
+    n = len(i)
+    for step in range(1, 7):
+        t = n + step - 1
+        w = 1 + 0.4 * math.sin(2 * math.pi * t / 24)
+        for k, level in (("grows", 20 + 0.05 * t), ("sinks", 6 - 0.04 * t), ("negative", -(20 + 0.05 * t))):
+            assert got[k, step] == pytest.approx(level * w, abs=0.6)
+
+
+def test_every_key_has_a_status(spark, planted):
     data, _ = planted
-    df = frame(spark, {"up": data["up"]})
-    check_forecast(M.SeasonalModel("multiplicative").fit(df, B).predict(6), 1, 6)
+    df = frame(spark, {"up": data["up"], "nine": data["ar"][:9], "empty": np.full(40, np.nan)})
+    df = df.withColumn("value", F.nanvl("value", F.lit(None)))
+    for model in (M.SeasonalModel(), M.ArimaModel(order=(1, 1, 0)), M.forest(trees=2, depth=3)):
+        got = {r.k: r.status for r in model.fit(df, B).status().collect()}
+        assert set(got) == {"up", "nine", "empty"} and got["up"] == "ok" and got["empty"] == "insufficient"
+        assert (got["nine"] == "insufficient") == (model.name != "seasonal")
+
+
+def test_dynamic_weights_are_renewed(spark, planted):
+    data, _ = planted
+    model = M.DynamicEnsemble([M.SeasonalModel(), M.ArimaModel(order=(1, 0, 0))], window=24, every=6)
+    model.fit(frame(spark, {"up": data["up"][:200]}), B)
+    before = model.weights
+    assert not model.renew(frame(spark, {"up": data["up"][:205]})) and model.weights is before
+    assert model.renew(frame(spark, {"up": data["up"][:206]})) and model.weights is not before
 
 
 def test_trees_roll_forward(planted):
