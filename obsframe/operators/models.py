@@ -67,8 +67,8 @@ def shaped(df: DataFrame, b: Binding, name: str) -> DataFrame:
 class SeasonalModel:
     """Piecewise linear trend plus Fourier seasons, fitted by penalised least squares.
 
-    The multiplicative form is trend x (1 + seasons): the trend is fitted first, then the seasons as shares of
-    it, both by least squares on all rows, whatever their sign.
+    The multiplicative form is trend x (1 + seasons): the trend of the additive fit, then the seasons as shares
+    of it, both by least squares on all rows, whatever their sign.
     """
 
     # seconds per period and Fourier order
@@ -117,15 +117,16 @@ class SeasonalModel:
         rows = attach(known, span.drop("n"), b.key)
         hinges = [1e-6, 1e-6, *[self.penalty] * len(self.knots)]
         waves = [1e-6] * (2 * sum(order for _, order in self.seasons))
+        added = self.solved(rows, span, [*self.line(ts), *self.waves(ts)], hinges + waves, F.col(v))
         if self.mode == "additive":
-            self.coefficients = self.solved(rows, span, [*self.line(ts), *self.waves(ts)], hinges + waves, F.col(v))
+            self.coefficients = added
             return self
-        trend = self.solved(rows, span, self.line(ts), hinges, F.col(v))
-        rows = attach(rows, trend.select(*b.key, F.col("beta").alias("trend")), b.key)
+        # the waves kept the trend from following the seasons; what they found is fitted again as shares
+        trend = cut(added.select(*b.key, F.slice("beta", 1, len(hinges)).alias("trend")))
+        rows = attach(rows, trend, b.key)
         rows = rows.withColumn("__g", dot("trend", F.array(*self.line(ts))))
         shares = [F.col("__g") * w for w in self.waves(ts)]
         season = self.solved(rows, span, shares, waves, F.col(v) - F.col("__g"))
-        trend = trend.select(*b.key, F.col("beta").alias("trend"))
         self.coefficients = cut(link(season, trend, b.key, "inner"))
         return self
 
