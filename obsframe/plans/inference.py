@@ -146,6 +146,22 @@ def linear_trend_p(spark, sf_dir):
     return df.select("event_type", "p_value", "is_significant", "interpretation")
 
 
+def critical_t(df: str) -> str:
+    """Two-sided 5% point of t for large df, by the expansion around the normal point."""
+    z = 1.959963984540054
+    first, second = (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96
+    return f"({z!r} + {first!r} / {df} + {second!r} / ({df} * {df}))"
+
+
+@query(
+    "trend_significance",
+    f"""WITH {FIT_SQL} SELECT event_type, abs(slope / sqrt((1 - r2) * syy / (sxx * (n - 2)))) > {critical_t('(n - 2)')}
+    AS is_significant FROM fit""",
+)
+def trend_significance(spark, sf_dir):
+    return linear_trend_p(spark, sf_dir).select("event_type", "is_significant")
+
+
 @query(
     "durbin_watson",
     f"""WITH {RES_SQL}, l AS (SELECT event_type, e, e - lag(e) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS d

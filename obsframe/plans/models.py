@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from obsframe.operators import models as M
 from obsframe.operators import stationarity
 from obsframe.plans.registry import query, rounded, table
@@ -62,6 +64,20 @@ def forecast_gbt_wide(spark, sf_dir):
     return M.boosted_wide(ROUNDS).fit(series(spark, sf_dir), GRID).predict(24)
 
 
+@query(
+    "arima_first_order",
+    f"""WITH {HOURS}, l AS (SELECT event_type, value, lag(value) OVER w AS before, row_number() OVER w AS i FROM hours
+    WINDOW w AS (PARTITION BY event_type ORDER BY slot))
+    SELECT event_type, count(*) AS n, round(regr_intercept(value, before), 6) AS constant,
+    round(regr_slope(value, before), 6) AS phi FROM l WHERE i > 12 GROUP BY 1""",
+)
+def arima_first_order(spark, sf_dir):
+    """An autoregression of order one is a plain regression on the value before."""
+    orders = M.ArimaModel(order=(1, 0, 0)).fit(series(spark, sf_dir), GRID).orders()
+    beta = lambda i: F.element_at("beta", i)
+    return rounded(orders.select("event_type", "n", beta(1).alias("constant"), beta(2).alias("phi")), 6)
+
+
 @query("forecast_rf")
 def forecast_rf(spark, sf_dir):
     return M.forest(TREES).fit(series(spark, sf_dir), GRID).predict(24)

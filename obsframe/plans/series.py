@@ -179,6 +179,21 @@ def stl_strength(spark, sf_dir):
     return R.component_strength(decompose_stl(hourly(spark, sf_dir), EVENTS), EVENTS)
 
 
+@query(
+    "stl_identity",
+    f"""WITH {HOURS} SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean_value,
+    round(stddev_samp(value), 6) AS std_value FROM hours GROUP BY 1""",
+)
+def stl_identity(spark, sf_dir):
+    """The three parts of each slot add up to its value, so their sums have the values' moments."""
+    parts = decompose_stl(hourly(spark, sf_dir), EVENTS)
+    whole = F.col("trend") + F.col("seasonal") + F.col("resid")
+    out = parts.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(whole).alias("mean_value"), F.stddev_samp(whole).alias("std_value")
+    )
+    return rounded(out, 6)
+
+
 def strength_label(c: str) -> str:
     return f"CASE WHEN {c} > 0.6 THEN 'strong' WHEN {c} > 0.3 THEN 'moderate' ELSE 'weak' END"
 
