@@ -54,7 +54,7 @@ def test_lof_is_exact(spark, cloud, cell):
 DETECTORS = {
     "forest": lambda df: D.isolation_forest(df, B, trees=20, sample=64),
     "envelope": lambda df: D.elliptic_envelope(df, B, rounds=4),
-    "svm": lambda df: D.one_class_svm(df, B, rounds=8),
+    "svm": lambda df: D.one_class_svm(df, B, rounds=4),
     "svm_linear": lambda df: D.one_class_svm(df, B, kernel="linear", rounds=4),
 }
 
