@@ -9,7 +9,8 @@ entity away even after it is masked. With documents as the unit of counting,
 
 a term near the entity whose PMI reaches ``remove_at`` of IC(e) is removed, one that reaches ``generalise_at``
 is generalised to its shape. n(t) counts every document of the corpus, n(e, t) those with the term within
-``reach`` characters of the entity; pairs seen in fewer than ``support`` documents say nothing and are left.
+``reach`` characters of the entity. A pair seen in fewer than ``support`` documents is judged with its count
+discounted by n(e, t) / support, so an entity of a single document has revealing terms too: the rare ones.
 """
 
 from __future__ import annotations
@@ -189,10 +190,7 @@ def disclosing(
     """entity, term, kind for the pairs whose mutual information reaches a threshold."""
     total = docs.count()
     once = near.select("key", "weight", "entity", "term").distinct()
-    pairs = stored(
-        once.groupBy("entity", "term").agg(F.sum("weight").alias("together")).where(F.col("together") >= support),
-        "pairs",
-    )
+    pairs = stored(once.groupBy("entity", "term").agg(F.sum("weight").alias("together")), "pairs")
     entities = once.select("key", "weight", "entity").distinct().groupBy("entity").agg(F.sum("weight").alias("n_entity"))
     wanted = stored(pairs.select("term").distinct(), "terms")
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of()), WORD_BREAK))).alias("term"))
@@ -200,7 +198,8 @@ def disclosing(
     terms = words.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term")
     n = F.lit(float(total))
     content = F.log2(n / F.col("n_entity"))
-    shared = F.log2(n * F.col("together") / (F.col("n_entity") * F.col("n_term")))
+    trust = F.least(F.col("together") / support, F.lit(1.0))
+    shared = F.log2(n * trust * F.col("together") / (F.col("n_entity") * F.col("n_term")))
     scored = pairs.join(entities, "entity").join(terms, "term").where(content > 0)
     kind = F.when(shared >= remove_at * content, "remove").when(shared >= generalise_at * content, "generalise")
     return scored.select("entity", "term", kind.alias("kind")).where(F.col("kind").isNotNull())

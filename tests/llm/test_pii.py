@@ -113,6 +113,16 @@ def test_revealing_terms(spark):
     assert got == want and {"remove", "generalise"} <= set(want.values())
 
 
+def test_entities_of_one_document(spark):
+    rows = [(1, "zorvath asks for plans by f@x.org"), (2, "mellin asks for plans by g@x.org"), (3, "mellin of plans by g@x.org")]
+    rows += [(10 + i, "someone asks for plans by post") for i in range(97)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, s.start, s.stop) for r in pii.find_spans(df).collect() for s in r.terms}
+    assert {(1, 0, 7), (2, 0, 6), (3, 0, 6)} <= got
+    common = [(i, m.start(), m.end()) for i, t in rows for m in re.finditer("asks|for|plans", t)]
+    assert not got & set(common)
+
+
 def test_masks(spark):
     rows = [(1, "mail a@b.co, call +1 555 123 4567 or 10.0.0.1!", 1), (2, None, 5), (3, "plain", 9), (4, "+4111 1111 1111 1111 1", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
