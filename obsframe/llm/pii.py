@@ -7,15 +7,16 @@ entity away even after it is masked. With documents as the unit of counting,
     information of an entity    IC(e)     = log2(N / n(e))
     mutual information          PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t)))
 
-a term near the entity whose PMI reaches ``remove_at`` of IC(e) is removed, one that reaches ``generalise_at``
-is generalised to its shape. n(t) counts every document of the corpus, n(e, t) those with the term within
-``reach`` characters of the entity. A pair seen in fewer than ``support`` documents is judged with its count
+a term of a document with the entity whose PMI reaches ``remove_at`` of IC(e) is removed, one that reaches
+``generalise_at`` is generalised to its shape, wherever it stands in the documents that hold the entity. n(t) counts
+every document of the corpus, n(e, t) those with both; ``reach`` narrows that count to terms so many characters from
+the entity, a word that the limit cuts included. A pair seen in fewer than ``support`` documents is judged with its count
 discounted by n(e, t) / support, so an entity of a single document has revealing terms too: the rare ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import fits, stored, table, text_of
@@ -34,6 +35,9 @@ PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 
 SPAN = "array<struct<kind:string,start:bigint,stop:bigint>>"
 WORD_BREAK = r"[^\p{L}\p{N}]+"
+# stands for the characters of base spans while words are placed; no letter and no character of any text
+HIDDEN = "\uffff"
+WORD = r"[\p{L}\p{N}\uFFFF]++"
 
 
 def _digits(value: Column) -> Column:
@@ -125,89 +129,81 @@ def base_spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def _words(text: Column, offset: Column) -> Column:
-    """array<struct<term, start, stop>>: words of three letters or more, lower-cased, with offsets."""
-    placed = _placed(text, r"[\p{L}\p{N}]++")
-    kept = F.filter(placed, lambda w: F.length(w["value"]) >= 3)
-    return F.transform(
-        kept,
-        lambda w: F.struct(
-            F.lower(w["value"]).alias("term"),
-            (w["start"] + offset).cast("bigint").alias("start"),
-            (w["start"] + offset + F.length(w["value"])).cast("bigint").alias("stop"),
-        ),
-    )
+def _hidden(text: Column, base: Column) -> Column:
+    """``text`` with every character of a base span replaced by HIDDEN; offsets stay."""
+    plain = F.translate(text, HIDDEN, " ")
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(acc["at"], s["start"])
+        clear = F.substring(plain, (acc["at"] + 1).cast("int"), (begin - acc["at"]).cast("int"))
+        cover = F.repeat(F.lit(HIDDEN), F.greatest(s["stop"] - begin, F.lit(0)).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.concat(acc["out"], clear, cover).alias("out"))
+
+    by_place = F.array_sort(base, lambda x, y: (x["start"] - y["start"]).cast("int"))
+    rest = lambda acc: F.concat(acc["out"], F.substring(plain, (acc["at"] + 1).cast("int"), F.length(plain)))
+    return F.aggregate(by_place, F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step, rest)
 
 
-def neighbours(spans: DataFrame, reach: int) -> DataFrame:
-    """key, weight, entity, term, start, stop: whole words within ``reach`` characters of a base span.
+def placed_words(holders: DataFrame) -> DataFrame:
+    """key, term, start, stop: the words of three letters or more that touch no base span, lower-cased.
 
-    Each span takes along its two windows and the spans next to it, never the whole text.
+    Words become rows before they are placed, so a long document costs no more than its share.
     """
-    text, placed = F.col("text"), F.col("placed")
-    side = reach // 2  # more spans than that cannot begin or end within reach on one side
+    hidden = holders.select("key", _hidden(F.col("text"), F.col("base")).alias("text"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    gaps = F.transform(F.split("text", WORD, -1), F.length)
+    rows = hidden.select("key", F.posexplode(F.arrays_zip(words.alias("word"), gaps.alias("gap"))).alias("i", "w"))
+    rows = rows.where("w.word is not null").select("key", "i", "w.gap", "w.word")
+    stop = F.sum(F.col("gap") + F.length("word")).over(Window.partitionBy("key").orderBy("i"))
+    placed = rows.select("key", F.lower("word").alias("term"), (stop - F.length("word")).alias("start"), stop.alias("stop"))
+    return placed.where((F.col("stop") - F.col("start") >= 3) & ~F.contains("term", F.lit(HIDDEN)))
 
-    def surroundings(s: Column, i: Column) -> Column:
-        begin = F.greatest(s["start"] - reach, F.lit(0))
-        return F.struct(
-            F.concat_ws(":", s["kind"], s["value"]).alias("entity"),
-            begin.alias("begin"),
-            s["stop"].alias("stop"),
-            F.substring(text, (begin + 1).cast("int"), (s["start"] - begin).cast("int")).alias("before"),
-            F.substring(text, (s["stop"] + 1).cast("int"), F.lit(reach)).alias("after"),
-            F.slice(placed, F.greatest(i - side, F.lit(0)) + 1, F.lit(2 * side + 1)).alias("beside"),
-        )
 
-    by_place = F.array_sort("base", lambda x, y: (x["start"] - y["start"]).cast("int"))
-    one = spans.withColumn("placed", by_place).select(
-        "key", "weight", F.explode(F.transform(placed, surroundings)).alias("s")
-    )
-    # a word that the window's edge may have cut is blanked, offsets stay
-    cut = F.length(F.regexp_extract("s.before", r"^[\p{L}\p{N}]+", 0))
-    before = F.when(
-        F.col("s.begin") > 0, F.concat(F.repeat(F.lit(" "), cut), F.substring("s.before", cut + 1, F.lit(reach)))
-    ).otherwise(F.col("s.before"))
-    after = F.when(
-        F.length("s.after") == reach, F.regexp_replace("s.after", r"[\p{L}\p{N}]+$", "")
-    ).otherwise(F.col("s.after"))
-    words = one.select(
-        "key",
-        "weight",
-        "s.entity",
-        "s.beside",
-        F.explode(F.concat(_words(before, F.col("s.begin")), _words(after, F.col("s.stop")))).alias("w"),
-    )
-    # words inside a base span are protected already
-    free = words.where(
-        ~F.exists("beside", lambda b: (b["start"] < F.col("w.stop")) & (F.col("w.start") < b["stop"]))
-    )
-    return free.select("key", "weight", "entity", "w.term", "w.start", "w.stop")
+def holdings(spans: DataFrame, reach: int | None) -> DataFrame:
+    """entity, group, n_entity. Entities of the very same documents share a group: they have the same terms, so a
+    document with many of its own does not pair each of them with each word. Windows keep them apart."""
+    held = spans.select("key", "weight", "entity").distinct()
+    same = [F.bit_xor(F.xxhash64("key", F.lit(i))).cast("string") for i in (1, 2)]
+    group = F.concat_ws(":", *same, F.count("*")) if reach is None else F.first("entity")
+    return held.groupBy("entity").agg(group.alias("group"), F.sum("weight").alias("n_entity"))
 
 
-def disclosing(
-    docs: DataFrame, near: DataFrame, support: int, generalise_at: float, remove_at: float
-) -> DataFrame:
-    """entity, term, kind for the pairs whose mutual information reaches a threshold."""
-    total = docs.count()
-    once = near.select("key", "weight", "entity", "term").distinct()
-    pairs = stored(once.groupBy("entity", "term").agg(F.sum("weight").alias("together")), "pairs")
-    entities = once.select("key", "weight", "entity").distinct().groupBy("entity").agg(F.sum("weight").alias("n_entity"))
-    wanted = stored(pairs.select("term").distinct(), "terms")
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of()), WORD_BREAK))).alias("term"))
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits(df) else df
+
+
+def pairs_of(docs: DataFrame, words: DataFrame, members: DataFrame, total: int, generalise_at: float) -> DataFrame:
+    """key, weight, group, n_entity, term, n_term: the words of each document that holds an entity.
+
+    Left out are words too common to reach ``generalise_at`` even if they went with the entity everywhere.
+    """
+    own = words.select("key", "term").distinct()
+    wanted = stored(own.select("term").distinct(), "terms")
+    every = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of()), WORD_BREAK))).alias("term"))
     # sums per task first, then the join (inner: a semi-join would be moved below the sums)
-    terms = words.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term")
+    terms = stored(every.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term"), "term-counts")
     n = F.lit(float(total))
     content = F.log2(n / F.col("n_entity"))
+    possible = (content > 0) & (F.log2(n / F.col("n_term")) >= generalise_at * content - 1e-9)
+    return own.join(_small(terms), "term").join(_small(members), "key").where(possible)
+
+
+def disclosing(pairs: DataFrame, total: int, support: int, generalise_at: float, remove_at: float) -> DataFrame:
+    """group, term, kind for the pairs whose mutual information reaches a threshold."""
+    n = F.lit(float(total))
+    counted = pairs.groupBy("group", "term").agg(
+        F.sum("weight").alias("together"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
+    )
     trust = F.least(F.col("together") / support, F.lit(1.0))
+    content = F.log2(n / F.col("n_entity"))
     shared = F.log2(n * trust * F.col("together") / (F.col("n_entity") * F.col("n_term")))
-    scored = pairs.join(entities, "entity").join(terms, "term").where(content > 0)
     kind = F.when(shared >= remove_at * content, "remove").when(shared >= generalise_at * content, "generalise")
-    return scored.select("entity", "term", kind.alias("kind")).where(F.col("kind").isNotNull())
+    return counted.select("group", "term", kind.alias("kind")).where(F.col("kind").isNotNull())
 
 
 def find_spans(
     docs: DataFrame,
-    reach: int = 48,
+    reach: int | None = None,
     support: int = 3,
     generalise_at: float = 0.6,
     remove_at: float = 0.9,
@@ -226,7 +222,7 @@ def find_spans(
 
 def revealing(
     docs: DataFrame,
-    reach: int = 48,
+    reach: int | None = None,
     support: int = 3,
     generalise_at: float = 0.6,
     remove_at: float = 0.9,
@@ -235,12 +231,24 @@ def revealing(
     base = base_spans(docs).withColumn("base", F.concat(*KINDS))
     holders = base.where(F.size("base") > 0).groupBy("key")
     holders = holders.agg(F.first("base").alias("base"), F.first("text").alias("text"), F.count("*").alias("weight"))
-    near = stored(neighbours(stored(holders, "holders"), reach).distinct(), "near")
-    told = stored(disclosing(docs, near, support, generalise_at, remove_at), "told")
+    holders = stored(holders, "holders")
+    words, total = stored(placed_words(holders), "words"), docs.count()
+    spans = holders.select("key", "weight", F.explode("base").alias("s"))
+    spans = spans.select("key", "weight", F.concat_ws(":", "s.kind", "s.value").alias("entity"), "s.start", "s.stop")
+    groups = stored(holdings(spans, reach), "groups")
+    spans = spans.join(_small(groups), "entity").drop("entity")
+    members = stored(spans.select("key", "weight", "group", "n_entity").distinct(), "members")
+    pairs = counted = stored(pairs_of(docs, words, members, total, generalise_at), "pairs")
+    if reach is not None:
+        at = spans.select("key", "group", F.col("start").alias("__start"), F.col("stop").alias("__stop"))
+        close = (F.col("start") < F.col("__stop") + reach) & (F.col("stop") > F.col("__start") - reach)
+        near = words.join(at, "key").where(close).select("key", "group", "term").distinct()
+        counted = pairs.join(near, ["key", "group", "term"])
+    told = stored(disclosing(counted, total, support, generalise_at, remove_at), "told")
+    marked = pairs.join(_small(told), ["group", "term"])
+    marked = marked.groupBy("key", "term").agg(F.max("kind").alias("kind"))  # "remove" sorts after "generalise"
     added = (
-        near.select("key", "entity", "term", "start", "stop").join(F.broadcast(told) if fits(told) else told, ["entity", "term"])
-        .groupBy("key", "start", "stop")
-        .agg(F.max("kind").alias("kind"))  # "remove" sorts after "generalise"
+        words.join(marked, ["key", "term"])
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "stop"))).alias("terms"))
     )

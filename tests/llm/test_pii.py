@@ -123,6 +123,18 @@ def test_entities_of_one_document(spark):
     assert not got & set(common)
 
 
+def test_terms_far_from_the_entity(spark):
+    far = "plain words that keep their distance from anything private, " * 3
+    rows = [(i, f"f@x.org {far} falcon and {far} falcon {i}") for i in range(5)] + [(9, f"falcon f@x.org {far} falcon")]
+    rows += [(10 + i, far) for i in range(60)] + [(90, "falcon seen once more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(i, m.start(), m.end()) for i, t in rows for m in re.finditer("falcon", t) if i < 10}
+    got = {(r.doc_id, s.start, s.stop) for r in pii.find_spans(df).collect() for s in r.terms}
+    assert want <= got and not {i for i, _, _ in got} - set(range(10))
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert not any("falcon" in clean[i] for i in (0, 1, 2, 3, 4, 9)) and "falcon" in clean[90]
+
+
 def test_masks(spark):
     rows = [(1, "mail a@b.co, call +1 555 123 4567 or 10.0.0.1!", 1), (2, None, 5), (3, "plain", 9), (4, "+4111 1111 1111 1111 1", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
