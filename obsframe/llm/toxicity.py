@@ -45,8 +45,8 @@ FACTORS = {INSULT: 1.0, AIMED: 1.25, MENACE: 1.5, NEGATED: 0.25, QUOTED: 0.5}
 
 #: Word beginnings of these lengths may be learned as stems.
 STEMS = (4, 5, 6, 7)
-#: Least log-likelihood ratio, least log-odds and least documents for an entry; most entries.
-EVIDENCE, ODDS, SUPPORT, ENTRIES = 30.0, 2.0, 3, 4096
+#: Least log-likelihood ratio, least log-odds and least documents for an entry.
+EVIDENCE, ODDS, SUPPORT = 30.0, 2.0, 3
 #: Most labelled rows that the logistic model is fitted on.
 FIT_ROWS = 200_000
 FEATURES = ("best", "total", "share", "distinct")
@@ -208,8 +208,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     scored = entries.withColumns({"odds": odds, "evidence": evidence})
     kept = scored.where(
         (F.col("odds") >= ODDS) & (F.col("evidence") >= EVIDENCE) & (F.col("most") >= SUPPORT)
-    ).orderBy(F.desc("evidence"), "word", "stem")
-    learned = kept.limit(ENTRIES).collect()  # the model: at most ENTRIES rows
+    )
+    learned = kept.select("word", "stem", "odds").collect()  # the model: every entry that passes
     known = {r["word"]: r["odds"] for r in scored.where(~F.col("stem") & F.col("word").isin(INSULTS) & (F.col("n") >= 8)).collect()}
     general = {w: max(0.0, known[w]) if w in known else UNSEEN_WEIGHT for w in INSULTS}
     weight = lambda r: float(min(r["odds"], 8.0))
@@ -239,7 +239,6 @@ class Model:
 
     def score(self, spark: SparkSession):
         """Function of a text column to its score between 0 and 1."""
-        # the lexicon has at most ENTRIES entries beside the general lists
         shared = spark.sparkContext.broadcast((self.lexicon.words, self.lexicon.stems, self.weights))
 
         @F.arrow_udf(T.DoubleType())

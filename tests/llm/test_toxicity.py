@@ -81,6 +81,15 @@ def test_fold_is_not_learned_from(spark):
     assert all((a[i] >= 0.5) == (i % 2 == 0) for i in a)
 
 
+def test_every_telling_word_is_kept(spark):
+    words = ["".join("abcdefghij"[int(d)] for d in f"{i * 7919 % 10**6:06d}") + "q" for i in range(5000)]
+    docs = [(i, " ".join(words) if i % 2 else "calm words") for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    lexicon = t.learn_lexicon(df, labels)
+    assert len(set(words)) == 5000 and set(words) <= set(lexicon.words)
+
+
 def test_odd_tables(spark):
     df = spark.createDataFrame(
         [(1, None, 9), (1, None, 9), (None, "you idiot", 9), (3, "", 9)], "doc_id long, text string, score int"
