@@ -112,17 +112,14 @@ def model_status(spark, sf_dir):
 
 @query("ensemble_stacking")
 def ensemble_stacking(spark, sf_dir):
-    members = [M.SeasonalModel(), M.ArimaModel()]
-    return M.StackingEnsemble(members).fit(series(spark, sf_dir), GRID).predict(24)
+    return M.default_ensemble("stacking", ROUNDS, TREES).fit(series(spark, sf_dir), GRID).predict(24)
 
 
 @query("ensemble_performance")
 def ensemble_performance(spark, sf_dir):
-    members = [M.SeasonalModel(), M.ArimaModel()]
-    return M.WeightedEnsemble(members, "performance").fit(series(spark, sf_dir), GRID).predict(24)
+    return M.default_ensemble("weighted", ROUNDS, TREES).fit(series(spark, sf_dir), GRID).predict(24)
 
 
 @query("ensemble_dynamic_models")
 def ensemble_dynamic_models(spark, sf_dir):
-    members = [M.SeasonalModel(), M.ArimaModel()]
-    return M.DynamicEnsemble(members).fit(series(spark, sf_dir), GRID).predict(24)
+    return M.default_ensemble("dynamic", ROUNDS, TREES).fit(series(spark, sf_dir), GRID).predict(24)

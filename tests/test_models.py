@@ -15,6 +15,8 @@ from obsframe.operators import models as M
 from obsframe.operators.least_squares import gram, square, vector_sum
 from obsframe.operators.stationarity import adf, default_lags
 from obsframe.operators.stl import stl
+from obsframe.plans import catalog
+from tests.conftest import SMALL
 
 B = Binding(key=("k",), ts="slot", values=("value",))
 
@@ -184,6 +186,18 @@ def test_ensembles(planted):
     assert len(M.default_ensemble("dynamic").models) == 5
 
 
+def test_ensemble_queries_combine_the_five_members(spark, monkeypatch):
+    seen = {}
+    note = lambda self, *a: seen.update({self.name: {m.name for m in self.models}}) or self
+    for kind in (M.StackingEnsemble, M.WeightedEnsemble):
+        monkeypatch.setattr(kind, "fit", note)
+        monkeypatch.setattr(kind, "predict", lambda self, *a: None)
+    for name in ("ensemble_stacking", "ensemble_performance", "ensemble_dynamic_models"):
+        catalog.QUERIES[name](spark, SMALL)
+    five = {"seasonal", "arima", "boosted", "boosted_wide", "forest"}
+    assert seen == {"stacking": five, "weighted": five, "dynamic": five}
+
+
 def test_weights_are_renormalised_over_present_models(spark):
     rows = [("a", 1, "x", 10.0), ("a", 1, "y", 20.0), ("a", 2, "x", 10.0)]
     df = spark.createDataFrame(rows, "k string, step int, model string, forecast double")
