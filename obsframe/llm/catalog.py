@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obsframe.llm import bpe, decontaminate, dedup, packing, pii, simhash, tokens, topk, toxicity, unigram, warc
+from obsframe.llm import bpe, decontaminate, dedup, packing, pii, resampling, simhash, tokens, topk, toxicity, unigram, warc
 
 QUERIES = {
     "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_pii": pii.op9_pii,
     "op10_toxicity": toxicity.op10_toxicity,
     "op12_decontaminate": decontaminate.op12_decontaminate,
+    "op13_resampling": resampling.op13_resampling,
 }
 
 ORACLES = {
     "op2_exact_dedup": dedup.OP2_SQL,
     "op5_topk": topk.OP5_SQL,
     "op12_decontaminate": decontaminate.OP12_SQL,
+    "op13_resampling": resampling.OP13_SQL,
 }
