@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obsframe.llm import bpe, decontaminate, dedup, packing, pii, resampling, simhash, tokens, topk, toxicity, unigram, warc
+from obsframe.llm import alignment, bpe, decontaminate, dedup, packing, pii, resampling, simhash, tokens, topk, toxicity, unigram, warc
 
 QUERIES = {
     "op1_wavelet_tokens": tokens.op1_wavelet_tokens,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_pii": pii.op9_pii,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_alignment": alignment.op11_alignment,
     "op12_decontaminate": decontaminate.op12_decontaminate,
     "op13_resampling": resampling.op13_resampling,
 }
