@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ from obsframe.llm.common import stored, table, text_of
 from obsframe.llm.words import together
 
 #: Stretches that a Python worker remembers between batches.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
+#: Stretches sent to the libraries together: what those return takes far more room than the ids.
+TOGETHER = 8_192
 #: Longer stretches are aligned anew each time.
 LONG = 200
 #: A block of documents is closed once it has this many links or documents.
@@ -49,20 +52,54 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _gather(values: np.ndarray, stops: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Of stretches of ``values`` (cut at ``stops``, from 0 on) those numbered ``which``, end to end."""
+    sizes = np.diff(stops)[which]
+    shift = np.repeat(stops[which] - (np.cumsum(sizes) - sizes), sizes)
+    return values[shift + np.arange(len(shift))]
+
+
+def _stops(counts) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+
+
 class Aligned:
-    """Stretches with what their alignment gives, by number."""
+    """What the alignment of numbered stretches gives: sizes (A tokens, B tokens, groups, links, whether both
+    tokenizers give the stretch back), groups as text, pairs of ids end to end."""
 
-    def __init__(self):
-        self.numbers: dict[bytes, int] = {}
-        self.sizes: list[tuple[int, int, int, int, bool]] = []  # A tokens, B tokens, groups, links, whole
-        self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
+    def __init__(self, sizes: np.ndarray, groups: pa.Array, pairs: np.ndarray):
+        self.sizes, self.groups, self.pairs = sizes, groups, pairs
+        self.stops = _stops(sizes[:, 3])
+
+    @classmethod
+    def none(cls) -> Aligned:
+        return cls(np.zeros((0, 5), np.int64), pa.array([], pa.string()), np.zeros(0, np.int64))
+
+    def and_then(self, more: Aligned) -> Aligned:
+        sizes, pairs = np.concatenate((self.sizes, more.sizes)), np.concatenate((self.pairs, more.pairs))
+        return Aligned(sizes, pa.concat_arrays([self.groups, more.groups]), pairs)
 
-    def add(self, stretch: bytes, sizes, groups: str, pairs: np.ndarray) -> None:
-        self.numbers[stretch] = len(self.sizes)
-        self.sizes.append(sizes)
-        self.groups.append(groups)
-        self.pairs.append(pairs)
+    def first(self, n: int) -> Aligned:
+        return Aligned(self.sizes[:n], self.groups.slice(0, n), self.pairs[: self.stops[n]])
+
+
+class Side:
+    """The ids of one tokenizer for many stretches, with the bytes of each id."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+        self.stops = _stops([len(p) for p in pieces])
+        self.length = np.diff(self.stops)
+
+    def gives_back(self, ids: np.ndarray, counts: np.ndarray, text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each stretch's ids are those of the stretch."""
+        ends = _stops(self.length[ids])[_stops(counts)]
+        same = np.diff(ends) == sizes
+        kept = np.repeat(same, counts)
+        equal = _gather(self.flat, self.stops, ids[kept]) == text[np.repeat(same, sizes)]
+        wrong = np.diff(_stops(~equal)[_stops(sizes[same])])
+        same[np.flatnonzero(same)[wrong > 0]] = False
+        return same
 
 
 class Aligner:
@@ -79,51 +116,64 @@ class Aligner:
         with open(path_a, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         letters = byte_letters()
-        self.bytes_a = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in vocabulary.items()}
+        pieces = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            pieces[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.side_a = Side(pieces)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_b, self.mark = [], self.b.piece_to_id(_MARK)
+        pieces, self.mark = [], self.b.piece_to_id(_MARK)
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             byte = _BYTE_PIECE.fullmatch(piece) if self.b.is_byte(i) else None
-            self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(_MARK, " ").encode())
-            inner = piece.lstrip(_MARK)
-            if not (self.b.is_byte(i) or self.b.is_control(i)) and _MARK in inner:
+            pieces.append(bytes([int(byte[1], 16)]) if byte else piece.replace(_MARK, " ").encode())
+            if not (byte or self.b.is_control(i)) and _MARK in piece.lstrip(_MARK):
                 raise ValueError(f"piece {piece!r} reaches into a space")
-        self.known = Aligned()
-
-    def align(self, ids_a: list[int], ids_b: list[int], stretch: bytes):
-        """sizes, groups and pairs of a stretch."""
-        parts_a, parts_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(parts_a) != stretch or b"".join(parts_b) != stretch:
-            return (0, 0, 0, 0, False), "", np.zeros(0, np.int64)
-        groups, pairs = [], []
-        i = j = end_a = end_b = 0
-        open_a, open_b = [], []
-        while i < len(ids_a):
-            # the side that ends first goes on; a new group opens both
-            next_a, next_b = not open_a or end_a < end_b, not open_b or end_b < end_a
-            if next_a:
-                open_a.append(ids_a[i + len(open_a)])
-                end_a += len(parts_a[i + len(open_a) - 1])
-            if next_b:
-                open_b.append(ids_b[j + len(open_b)])
-                end_b += len(parts_b[j + len(open_b) - 1])
-            pairs.append(open_a[-1] << 32 | open_b[-1])
-            if end_a == end_b:
-                groups.append(",".join(map(str, open_a)) + "|" + ",".join(map(str, open_b)))
-                i, j = i + len(open_a), j + len(open_b)
-                open_a, open_b = [], []
-        sizes = (len(ids_a), len(ids_b), len(groups), len(pairs), True)
-        return sizes, ";".join(groups), np.array(pairs, np.int64)
-
-    def learn(self, new: list[bytes], into: Aligned) -> None:
+        self.side_b = Side(pieces)
+        # every id as text with what may follow it
+        self.ids = max(len(self.side_a.length), len(self.side_b.length))
+        self.written = pa.array([f"{i}{mark}" for mark in ",|;" for i in range(self.ids)])
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.known = Aligned.none()
+
+    def align(self, ids_a: np.ndarray, count_a: np.ndarray, ids_b: np.ndarray, count_b: np.ndarray, new: list[bytes]) -> Aligned:
+        """Align the ids of the stretches ``new``, all at once: byte ends of both sides on one line."""
+        text, sizes = np.frombuffer(b"".join(new), np.uint8), np.array([len(s) for s in new], np.int64)
+        good = self.side_a.gives_back(ids_a, count_a, text, sizes) & self.side_b.gives_back(ids_b, count_b, text, sizes)
+        ids_a, ids_b = ids_a[np.repeat(good, count_a)], ids_b[np.repeat(good, count_b)]
+        count_a, count_b = count_a * good, count_b * good
+        owner_a = np.repeat(np.arange(len(new)), count_a)
+        ends_a, ends_b = np.cumsum(self.side_a.length[ids_a]), np.cumsum(self.side_b.length[ids_b])
+        # between neighbouring ends of either side lies one token of each: a link
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        pairs = ids_a[at_a] << 32 | ids_b[at_b]
+        last_a, last_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+        count = lambda owners: np.bincount(owners, minlength=len(new))
+        table = np.stack((count_a, count_b, count(owner_a[last_a]), count(owner_a[at_a]), good), axis=1)
+        # ids of a group in order, A's before B's; "|" behind the last of A, ";" behind the last of B
+        group = np.concatenate((2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1))
+        which = np.concatenate((ids_a + last_a * self.ids, ids_b + last_b * 2 * self.ids))
+        written = self.written.take(pa.array(which[np.argsort(group, kind="stable")]))
+        stops = pa.array(_stops(count_a + count_b).astype(np.int32))
+        return Aligned(table.astype(np.int64), pc.binary_join(pa.ListArray.from_arrays(stops, written), ""), pairs)
+
+    def learn(self, new: list[bytes]) -> Aligned:
         """Every stretch begins with a space, which B adds by itself."""
-        texts = [s.decode() for s in new]
-        coded_a = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        coded_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        for stretch, a, b in zip(new, coded_a, coded_b):
-            # nothing after the space: B makes no token of an empty text
-            into.add(stretch, *self.align(a.ids, b if len(stretch) > 1 else [self.mark], stretch))
+        parts = [self._encode(new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
+        return self.align(*[np.concatenate(p) for p in zip(*parts)], new)
+
+    def _encode(self, some: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Ids of A end to end, their number for each stretch, and the same for B."""
+        texts = [s.decode() for s in some]
+        coded_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # nothing after the space: B makes no token of an empty text
+        coded_b = [b or [self.mark] for b in self.b.encode([t[1:] for t in texts], num_threads=1)]
+        flat = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64)
+        sizes = lambda lists: np.fromiter(map(len, lists), np.int64, len(lists))
+        return flat(coded_a), sizes(coded_a), flat(coded_b), sizes(coded_b)
 
     def stretches(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         """Distinct stretches of all texts, and the offsets of each text's stretches.
@@ -150,30 +200,27 @@ class Aligner:
         """For each text: A tokens, B tokens, groups, links, digest of the groups; all links' pairs and texts."""
         coded, offsets = self.stretches(texts)
         listed = coded.dictionary.to_pylist()
-        if len(self.known.numbers) > REMEMBERED:
-            self.known = Aligned()
-        own = Aligned()  # long stretches, for these texts alone
-        self.learn([s for s in listed if len(s) <= LONG and s not in self.known.numbers], self.known)
-        self.learn([s for s in listed if len(s) > LONG], own)
-        held = [own if len(s) > LONG else self.known for s in listed]
-        number = [h.numbers[s] for h, s in zip(held, listed)]
-        which = coded.indices.to_numpy()
-        sizes = np.array([h.sizes[i] for h, i in zip(held, number)], np.int64).reshape(-1, 5)
-        n = len(offsets) - 1
-        ends = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(sizes[which], axis=0)))[offsets]
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
+        new = [s for s in listed if len(s) <= LONG and s not in self.numbers]
+        long = [s for s in listed if len(s) > LONG]  # for these texts alone
+        held = self.known.and_then(self.learn(new + long)) if new or long else self.known
+        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
+        self.known = held.first(len(self.numbers))
+        own = dict(zip(long, range(len(self.numbers), len(self.numbers) + len(long))))
+        number = np.fromiter((own[s] if len(s) > LONG else self.numbers[s] for s in listed), np.int64, len(listed))
+        which = number[coded.indices.to_numpy()]
+        n, per_text = len(offsets) - 1, np.diff(offsets)
+        ends = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(held.sizes[which], axis=0)))[offsets]
         sums = np.diff(ends, axis=0)
         # a text that is empty, or that one stretch does not give back, has no tokens
-        good = (sums[:, 4] == np.diff(offsets)) & (pc.binary_length(texts).to_numpy() > 1)
-        groups = [h.groups[i] for h, i in zip(held, number)]
-        digests = []
-        for t, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-            joined = ";".join([groups[i] for i in which[a:b].tolist()]) if good[t] else ""
-            digests.append(hashlib.sha256(joined.encode()).hexdigest() if joined else "")
-        used = np.repeat(good, np.diff(offsets))
-        pairs = [h.pairs[i] for h, i in zip(held, number)]
-        links = [pairs[i] for i in which[used].tolist()]
-        text = np.repeat(np.repeat(np.arange(n), np.diff(offsets))[used], sizes[which[used], 3])
-        return sums[:, :4] * good[:, None], digests, np.concatenate([*links, np.zeros(0, np.int64)]), text
+        good = (sums[:, 4] == per_text) & (pc.binary_length(texts).to_numpy() > 1)
+        which = which[np.repeat(good, per_text)]
+        stops = pa.array(_stops(per_text * good).astype(np.int32))
+        groups = pc.binary_join(pa.ListArray.from_arrays(stops, held.groups.take(pa.array(which))), "")
+        digests = [hashlib.sha256(g[:-1].encode()).hexdigest() if g else "" for g in groups.to_pylist()]
+        text = np.repeat(np.repeat(np.arange(n), per_text * good), held.sizes[which, 3])
+        return sums[:, :4] * good[:, None], digests, _gather(held.pairs, held.stops, which), text
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
