@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obsframe.session import attach, cut, group_rows, link
+from obsframe.operators.order_statistics import at_share, order_statistics
+from obsframe.session import attach, bounded, cut, group_rows, link
 
 
 def largest_group(df: DataFrame, key: Sequence[str]) -> int:
@@ -134,35 +135,28 @@ def quantiles(
 ) -> DataFrame:
     """Group by ``key`` with ``aggs`` plus exact linear-interpolated quantiles.
 
-    ``wanted`` maps an output name to (column, q). Small groups use the built-in
-    aggregate in the same pass; large ones read the two neighbouring order
-    statistics off a range sort, one per column.
+    ``wanted`` maps an output name to (column, q). Keys that fit a task use the built-in aggregate in the same
+    pass; the ranks of larger ones are closed in on by counts, without moving their rows.
     """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    asked = {c: [q for k, q in wanted.values() if k == c] for c in columns}
+    # one buffer per column serves all of its quantiles
+    packed = [F.percentile(c, F.array(*map(F.lit, qs))).alias(f"__p_{c}") for c, qs in asked.items()]
+    picks = [F.col(f"__p_{c}")[asked[c].index(q)].alias(name) for name, (c, q) in wanted.items()]
     if fits_one_task(df, key):
-        columns = list(dict.fromkeys(c for c, _ in wanted.values()))
-        asked = {c: [q for k, q in wanted.values() if k == c] for c in columns}
-        # one buffer per column serves all of its quantiles
-        packed = [F.percentile(c, F.array(*map(F.lit, qs))).alias(f"__p_{c}") for c, qs in asked.items()]
-        picks = [F.col(f"__p_{c}")[asked[c].index(q)].alias(name) for name, (c, q) in wanted.items()]
         out = df.groupBy(*key).agg(*aggs, *packed)
         return out.select(*[c for c in out.columns if not c.startswith("__p_")], *picks)
     out = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    for column in dict.fromkeys(c for c, _ in wanted.values()):
-        qs = {name: q for name, (c, q) in wanted.items() if c == column}
-        kept = df.where(F.col(column).isNotNull()).select(*key, F.col(column).alias("__v"))
-        placed = positions(kept, key, ["__v"], "__pos", "__size")
-        at = {name: (F.col("__size") - 1) * F.lit(q) for name, q in qs.items()}
-        hit = F.lit(False)
-        for h in at.values():
-            hit = hit | (F.col("__pos") == F.floor(h)) | (F.col("__pos") == F.ceil(h))
-        parts = []
-        for name, h in at.items():
-            lo = F.max(F.when(F.col("__pos") == F.floor(h), F.col("__v")))
-            hi = F.max(F.when(F.col("__pos") == F.ceil(h), F.col("__v")))
-            frac = F.max(h - F.floor(h))
-            parts.append((lo + (hi - lo) * frac).alias(name))
-        out = link(out, placed.where(hit).groupBy(*key).agg(*parts), tuple(key))
-    return out.drop("__rows")
+    large = F.col("__rows") > group_rows(df.sparkSession)
+    out = cut(out)
+    few = bounded(out.where(large).select(*key))
+    rows = df.select(*key, *columns)
+    placed = order_statistics(link(rows, few, tuple(key), "inner"), key, {n: (c, at_share(q)) for n, (c, q) in wanted.items()})
+    if key:
+        rest = link(rows, few.withColumn("__large", F.lit(True)), tuple(key)).where(F.col("__large").isNull())
+        rest = rest.groupBy(*key).agg(*packed).select(*key, *picks)
+        placed = placed.unionByName(rest)
+    return link(out.drop("__rows"), placed, tuple(key))
 
 
 def average_rank(df: DataFrame, key: Sequence[str], value: str, name: str, descending: bool = False) -> DataFrame:
