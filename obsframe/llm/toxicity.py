@@ -12,17 +12,21 @@ A clause scores the sum of its words' weights, each times the factor of the symb
 judged by its best clause, the sum, the share of clauses that match and the number of different matches, through
 a logistic model.
 
-The lexicon of insults is learned: words and word beginnings that labelled toxic documents use more than chance
-allows. A short general list stands in where the labels say too little about a word.
+Words are runs of letters, in learning and in scoring alike. The lexicon of insults is learned: words that labelled
+toxic documents use more than chance allows, however many were tried, and word beginnings that two or more such words
+share and that tell more than the strongest of them. A short general list stands in where the labels say too
+little about a word. Threats, targets, negations and verbs of saying are English; other languages rest on the learned words.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +36,9 @@ from obsframe.llm.common import fits, stored, table, text_of
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, NEGATED, QUOTED, AIMED, MENACE = range(10)
 
 # General English word classes.
+THREATS = "kill hurt destroy beat burn shoot stab hunt punish crush".split()
 WORDS = {
-    THREAT: "kill hurt destroy beat burn shoot stab hunt punish crush".split(),
+    THREAT: ["shot", "beaten", "burnt"],
     TARGET: "you your he she they them him her we us this that these those".split(),
     NEGATION: "not no never neither nor isn't aren't wasn't don't doesn't didn't".split(),
     REPORT: "said says say wrote writes claimed claims called calls quoted reported".split(),
@@ -45,8 +50,10 @@ FACTORS = {INSULT: 1.0, AIMED: 1.25, MENACE: 1.5, NEGATED: 0.25, QUOTED: 0.5}
 
 #: Word beginnings of these lengths may be learned as stems.
 STEMS = (4, 5, 6, 7)
-#: Least log-likelihood ratio, least log-odds and least documents for an entry.
-EVIDENCE, ODDS, SUPPORT = 30.0, 2.0, 3
+#: Least log-odds and documents of an entry. Its log-likelihood ratio must reach EVIDENCE + 2 ln(entries tried).
+EVIDENCE, ODDS, SUPPORT = 8.0, 2.0, 3
+#: Least log-likelihood ratio of a word that counts towards a stem.
+TELLING = 6.6
 #: Most labelled rows that the logistic model is fitted on.
 FIT_ROWS = 200_000
 FEATURES = ("best", "total", "share", "distinct")
@@ -123,50 +130,82 @@ def clause_score(symbols: list[int], weights: list[float]) -> float:
     return score
 
 
+def forms(verb: str) -> list[str]:
+    """A regular verb with its endings, its last letter doubled or an e dropped where that may be."""
+    stem = verb.removesuffix("e")
+    return [verb, f"{verb}s", f"{verb}es", *[f"{x}{e}" for x in (stem, stem + stem[-1]) for e in ("ed", "ing", "er")]]
+
+
 class Lexicon:
     """The lexical transducer: class and weight of a word, by the word or its heaviest known beginning."""
 
     def __init__(self, words: dict[str, float], stems: dict[str, float]):
         self.words, self.stems = words, stems
         self.classes = {w: (c, 0.0) for c, listed in WORDS.items() for w in listed}
-        self.classes |= {w: (THREAT, UNSEEN_WEIGHT) for w in WORDS[THREAT]}
+        self.classes |= {w: (THREAT, UNSEEN_WEIGHT) for w in [*WORDS[THREAT], *[f for v in THREATS for f in forms(v)]]}
 
     def read(self, word: str) -> tuple[int, float]:
-        weight = max(self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEMS))
+        """``word`` is lower-case letters; what follows an apostrophe belongs to it in the closed classes only."""
+        bare = word.partition("'")[0]
+        weight = max(self.words.get(bare, 0.0), *(self.stems.get(bare[:n], 0.0) for n in STEMS))
         if weight > 0:
             return INSULT, weight
-        return self.classes.get(word, (OTHER, 0.0))
+        return self.classes.get(word) or self.classes.get(bare, (OTHER, 0.0))
 
 
-_EDGES = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_WORD = regex.compile(r"\p{L}+(?:['\u2019]\p{L}+)*")
+_CLOSE = frozenset(".,;:!?")
+
+
+def words_in(token: str) -> list[tuple[str, bool]]:
+    """The words of a stretch without white space, each with whether a clause ends behind it."""
+    if token.isalpha() and token.isascii():
+        return [(token.lower(), False)]
+    out, at = [], 0
+    for found in _WORD.finditer(token):
+        if _CLOSE.intersection(token[at : found.start()]):
+            out = [*out[:-1], (out[-1][0], True)] if out else [("", True)]
+        out.append((found[0].lower().replace("\u2019", "'"), False))
+        at = found.end()
+    if _CLOSE.intersection(token[at:]):
+        out = [*out[:-1], (out[-1][0], True)] if out else [("", True)]
+    return out
 
 
 def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     """A row of FEATURES for each text."""
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
-    which, offsets = coded.indices.to_numpy(), lists.offsets.to_numpy()
-    shown = coded.dictionary
-    bare = pc.utf8_lower(pc.utf8_trim(shown, characters=_EDGES)).to_pylist()
-    read = [lexicon.read(w) for w in bare]
-    symbols = np.array([c for c, _ in read], dtype=np.int8)
-    weights = np.array([w for _, w in read], dtype=np.float64)
-    closes = pc.match_substring_regex(shown, r"[.,;:!?]$").to_numpy(zero_copy_only=False)
     out = np.zeros((len(texts), len(FEATURES)))
-    if not len(which):
+    parts = [words_in(t) for t in coded.dictionary.to_pylist()]
+    flat = [w for p in parts for w in p]
+    if not flat:
         return out
-    heavy, ends = weights[which] > 0, closes[which].astype(bool)
-    clause = np.concatenate(([0], np.cumsum(ends)[:-1]))
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(w for w, _ in flat))}
+    read = [lexicon.read(w) for w in numbers]
+    # every occurrence of a stretch becomes its words
+    sizes = np.array([len(p) for p in parts])
+    token = coded.indices.to_numpy()
+    ends = np.concatenate(([0], np.cumsum(sizes[token])))
+    begins = np.concatenate(([0], np.cumsum(sizes)))[token]
+    spread = np.repeat(begins - ends[:-1], sizes[token]) + np.arange(ends[-1])
+    offsets = ends[lists.offsets.to_numpy()]
+    which = np.array([numbers[w] for w, _ in flat])[spread]
+    closes = np.array([c for _, c in flat])[spread]
+    symbols = np.array([c for c, _ in read], dtype=np.int8)
+    weights = np.array([w for _, w in read], dtype=np.float64)
+    heavy, blank = weights[which] > 0, numbers.get("", -1)
+    clause = np.concatenate(([0], np.cumsum(closes)[:-1])) if len(closes) else closes
     for i in np.unique(np.searchsorted(offsets, np.flatnonzero(heavy), side="right") - 1):
         begin, end = offsets[i], offsets[i + 1]
-        numbers, matched = clause[begin:end], heavy[begin:end]
+        numbered, matched = clause[begin:end], heavy[begin:end]
         scores = []
-        for c in np.unique(numbers[matched]):
-            b, e = begin + np.searchsorted(numbers, c), begin + np.searchsorted(numbers, c, side="right")
+        for c in np.unique(numbered[matched]):
+            b, e = begin + np.searchsorted(numbered, c), begin + np.searchsorted(numbered, c, side="right")
             words = which[b:e]
             scores.append(clause_score(symbols[words].tolist(), weights[words].tolist()))
         different = len(np.unique(which[begin:end][matched]))
-        share = sum(s > 0 for s in scores) / (numbers[-1] - numbers[0] + 1)
+        share = sum(s > 0 for s in scores) / len(np.unique(numbered[which[begin:end] != blank]))
         out[i] = (max(scores), np.log1p(sum(scores)), share, np.log1p(different))
     return out
 
@@ -182,8 +221,13 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """Counts every word of every labelled document outside the held-out fold, then keeps what tells."""
+_ENTRY = "word string, stem boolean, weight double"
+
+
+def learn_lexicon(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """word, stem, weight: every entry that passes the tests, over the words of every labelled document outside
+    the held-out fold, and the general list. Without labels of both kinds that list alone."""
+    spark = docs.sparkSession
     rows = _labelled(docs.select("doc_id", "text"), labels).select(
         "toxic", F.array_distinct(F.split(F.lower(text_of()), r"[^\p{L}]+")).alias("words")
     )
@@ -193,27 +237,76 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     size = _labelled(docs.select("doc_id"), labels).agg(toxic, F.count("*").alias("n")).first()
     n1, n0 = size["toxic"] or 0, size["n"] - (size["toxic"] or 0)
     if not n1 or not n0:
-        return Lexicon({w: UNSEEN_WEIGHT for w in INSULTS}, {})
+        return stored(spark.createDataFrame([(w, False, UNSEEN_WEIGHT) for w in INSULTS], _ENTRY), "lexicon")
+    scored = _told(counts, n1, n0)
+    telling = (F.col("odds") > 0) & (F.col("evidence") >= TELLING) & (F.col("toxic") >= 2)
     cut = F.transform(F.array(*map(F.lit, STEMS)), lambda k: F.substring("word", F.lit(1), k))
     long_enough = F.filter(cut, lambda p: (F.length(p) >= STEMS[0]) & (F.length(p) < F.length("word")))
-    stems = counts.select(F.explode(F.array_distinct(long_enough)).alias("word"), "toxic", "n")
-    stems = stems.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), F.max("toxic").alias("most"))
-    entries = counts.withColumns({"most": F.col("toxic"), "stem": F.lit(False)}).unionByName(
-        stems.withColumn("stem", F.lit(True))
+    begun = scored.select(F.explode(F.array_distinct(long_enough)).alias("word"), "toxic", "n", telling.alias("tells"), "evidence")
+    stems = begun.groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), F.count_if("tells").alias("tells"), F.max("evidence").alias("strongest")
     )
+    stems = stored(_told(stems, n1, n0).where("tells >= 2 and evidence > strongest"), "stems")
+    # of beginnings with the same toxic uses the longest: a shorter one only adds other words
+    longer = stems.select(F.expr("substring(word, 1, length(word) - 1)").alias("word"), F.col("toxic").alias("__toxic"))
+    stems = stems.join(longer.groupBy("word").agg(F.max("__toxic").alias("__toxic")), "word", "left")
+    stems = stems.where("__toxic is null or __toxic < toxic")
+    tried = counts.count() + stems.count()
+    passed = (F.col("odds") >= ODDS) & (F.col("evidence") >= EVIDENCE + 2 * math.log(max(tried, 1))) & (F.col("toxic") >= SUPPORT)
+    entry = lambda df, stem: df.where(passed).select("word", F.lit(stem).alias("stem"), F.least("odds", F.lit(8.0)).alias("weight"))
+    learned = stored(entry(scored, False).unionByName(entry(stems, True)), "lexicon")
+    listed = F.col("word").isin(INSULTS) & ~F.col("stem")
+    have = {r["word"] for r in learned.where(listed).collect()}
+    known = {r["word"]: r["odds"] for r in scored.where(F.col("word").isin(INSULTS) & (F.col("n") >= 8)).collect()}
+    general = [(w, False, float(max(0.0, known[w]) if w in known else UNSEEN_WEIGHT)) for w in INSULTS if w not in have]
+    return stored(learned.unionByName(spark.createDataFrame(general, _ENTRY)), "lexicon") if general else learned
+
+
+def _told(counts: DataFrame, n1: int, n0: int) -> DataFrame:
+    """``counts`` (toxic, n) with log-odds and log-likelihood ratio of the toxic share against the base rate."""
     base, clean = n1 / (n1 + n0), F.col("n") - F.col("toxic")
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((clean + 0.5) / (n0 + 1))
     share = lambda part, p: F.when(part > 0, part * F.log(part / (F.col("n") * p))).otherwise(0.0)
     evidence = 2 * (share(F.col("toxic"), base) + share(clean, 1 - base))
-    scored = entries.withColumns({"odds": odds, "evidence": evidence})
-    kept = scored.where(
-        (F.col("odds") >= ODDS) & (F.col("evidence") >= EVIDENCE) & (F.col("most") >= SUPPORT)
-    )
-    learned = kept.select("word", "stem", "odds").collect()  # the model: every entry that passes
-    known = {r["word"]: r["odds"] for r in scored.where(~F.col("stem") & F.col("word").isin(INSULTS) & (F.col("n") >= 8)).collect()}
-    general = {w: max(0.0, known[w]) if w in known else UNSEEN_WEIGHT for w in INSULTS}
-    weight = lambda r: float(min(r["odds"], 8.0))
-    return Lexicon(general | {r["word"]: weight(r) for r in learned if not r["stem"]}, {r["word"]: weight(r) for r in learned if r["stem"]})
+    return counts.withColumns({"odds": odds, "evidence": evidence})
+
+
+def _lexicon(entries) -> Lexicon:
+    kinds = [{r["word"]: r["weight"] for r in entries if r["stem"] == stem} for stem in (False, True)]
+    return Lexicon(*kinds)
+
+
+def with_features(docs: DataFrame, entries: DataFrame, name: str) -> DataFrame:
+    """``docs`` with an array of FEATURES of its text.
+
+    A lexicon within the counted bound of a broadcast goes to every task. The entries of a larger one are joined
+    to the words of each distinct text, and a text is read with its own entries.
+    """
+    text = F.make_valid_utf8(text_of())
+    if fits(entries):
+        shared = docs.sparkSession.sparkContext.broadcast(_lexicon(entries.collect()))
+
+        @F.arrow_udf(T.ArrayType(T.DoubleType()))
+        def read(texts: pa.Array) -> pa.Array:
+            x = [features(texts.slice(begin, 2048), shared.value) for begin in range(0, len(texts), 2048)]
+            return pa.array(list(np.concatenate([np.zeros((0, len(FEATURES))), *x])), pa.list_(pa.float64()))
+
+        return docs.withColumn(name, read(text))
+
+    digest = F.sha2(text, 256)
+    words = F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")))
+    begun = F.array(F.struct(F.col("word"), F.lit(False).alias("stem")), *[F.struct(F.substring("word", 1, n).alias("word"), F.lit(True).alias("stem")) for n in STEMS])
+    asked = docs.select(digest.alias("__text"), words.alias("word")).distinct()
+    asked = asked.select("__text", F.explode(F.array_distinct(begun)).alias("e")).select("__text", "e.word", "e.stem").distinct()
+    own = asked.join(entries, ["word", "stem"]).groupBy("__text").agg(F.collect_list(F.struct("word", "stem", "weight")).alias("__entries"))
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def read_own(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        x = [features(texts.slice(i, 1), _lexicon(own or []))[0].tolist() for i, own in enumerate(lists.to_pylist())]
+        return pa.array(x, pa.list_(pa.float64()))
+
+    joined = docs.withColumn("__text", digest).join(own, "__text", "left")
+    return joined.withColumn(name, read_own(text, F.col("__entries"))).select(*docs.columns, name)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -232,48 +325,29 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 @dataclass
 class Model:
-    """A lexicon and the weights of FEATURES, the intercept first."""
+    """The lexicon's entries and the weights of FEATURES, the intercept first."""
 
-    lexicon: Lexicon
+    entries: DataFrame
     weights: np.ndarray
 
-    def score(self, spark: SparkSession):
-        """Function of a text column to its score between 0 and 1."""
-        shared = spark.sparkContext.broadcast((self.lexicon.words, self.lexicon.stems, self.weights))
-
-        @F.arrow_udf(T.DoubleType())
-        def scored(texts: pa.Array) -> pa.Array:
-            words, stems, w = shared.value
-            x, own = [np.zeros((0, len(FEATURES)))], Lexicon(words, stems)
-            for begin in range(0, len(texts), 2048):
-                x.append(features(texts.slice(begin, 2048), own))
-            return pa.array(1 / (1 + np.exp(-np.clip(w[0] + np.concatenate(x) @ w[1:], -500, 500))))
-
-        return lambda column="text": scored(F.make_valid_utf8(text_of(column)))
+    def scored(self, docs: DataFrame, name: str) -> DataFrame:
+        """``docs`` with a score between 0 and 1."""
+        found = with_features(docs, self.entries, "__features")
+        total = F.lit(float(self.weights[0]))
+        for i, w in enumerate(self.weights[1:].tolist()):
+            total = total + F.col("__features")[i] * w
+        return found.withColumn(name, 1 / (1 + F.exp(-F.least(F.greatest(total, F.lit(-500.0)), F.lit(500.0))))).drop("__features")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Lexicon from all labelled rows outside the held-out fold, weights from FIT_ROWS of them at most."""
-    lexicon = learn_lexicon(docs, labels)
+    entries = learn_lexicon(docs, labels)
     rows = _labelled(docs.select("doc_id", "text"), labels)
-    if not rows.isEmpty():
-        shared = docs.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.stems))
-
-        def run(batches):
-            own = Lexicon(*shared.value)
-            for batch in batches:
-                for begin in range(0, batch.num_rows, 2048):
-                    some = batch.slice(begin, 2048)
-                    columns = [some.column("row"), some.column("toxic"), *map(pa.array, features(some.column("text"), own).T)]
-                    yield pa.RecordBatch.from_arrays(columns, ["row", "toxic", *FEATURES])
-
-        text = F.make_valid_utf8(text_of())
-        kept = rows.select(F.xxhash64("doc_id", text).alias("row"), F.col("toxic").cast("int").alias("toxic"), text.alias("text"))
-        shape = "row long, toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
-        sample = kept.mapInArrow(run, shape).orderBy("row", *FEATURES).limit(FIT_ROWS).drop("row").toPandas().to_numpy(dtype=float)
-        if 0 < sample[:, 0].sum() < len(sample):
-            return Model(lexicon, fit(sample[:, 1:], sample[:, 0]))
-    return Model(lexicon, np.array([-3.0, 0.5, 1.0, 1.0, 1.0]))
+    kept = with_features(rows.select(F.xxhash64("doc_id", text_of()).alias("row"), F.col("toxic").cast("int").alias("toxic"), "text"), entries, "x")
+    sample = kept.select("row", "toxic", "x").orderBy("row", "toxic", "x").limit(FIT_ROWS).toPandas()
+    if 0 < sample["toxic"].sum() < len(sample):
+        return Model(entries, fit(np.stack(sample["x"].to_numpy()), sample["toxic"].to_numpy(dtype=float)))
+    return Model(entries, np.array([-3.0, 0.5, 1.0, 1.0, 1.0]))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -284,15 +358,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     out. Without labels of both kinds a fixed model over the general list stands in. Repeated rows stay
     repeated; an empty table gives no rows. Other columns are ignored.
     """
-    score = learn(docs, labels).score(docs.sparkSession)
-    rows = docs.select("doc_id", held_out().alias("held_out"), score().alias("score"))
+    kept = docs.select("doc_id", "text", held_out().alias("held_out"))
+    rows = learn(docs, labels).scored(kept, "score").drop("text")
     return rows.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with all their columns."""
-    score = learn(docs, labels).score(docs.sparkSession)
-    return docs.where(score() < 0.5)
+    """The rows of ``docs`` that score below 0.5, with all their columns.
+
+    Null and empty texts, repeated rows, missing labels and empty tables are as in :func:`score_toxicity`; every row
+    is judged by itself.
+    """
+    return learn(docs, labels).scored(docs, "__score").where(F.col("__score") < 0.5).drop("__score")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
