@@ -7,11 +7,18 @@ entity away even after it is masked. With documents as the unit of counting,
     information of an entity    IC(e)     = log2(N / n(e))
     mutual information          PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t)))
 
-a term of a document with the entity whose PMI reaches ``remove_at`` of IC(e) is removed, one that reaches
-``generalise_at`` is generalised to its shape, wherever it stands in the documents that hold the entity. n(t) counts
-every document of the corpus, n(e, t) those with both; ``reach`` narrows that count to terms so many characters from
-the entity, a word that the limit cuts included. A pair seen in fewer than ``support`` documents is judged with its count
-discounted by n(e, t) / support, so an entity of a single document has revealing terms too: the rare ones.
+a term whose PMI reaches ``remove_at`` of IC(e) is removed, one that reaches ``generalise_at`` is generalised to its shape,
+wherever it stands in the documents that hold the entity. n(t) counts every document of the corpus, n(e, t) those
+with both; ``reach`` narrows that count to terms so many characters from the entity, a word that the limit cuts
+included. Being rare is no evidence, so a pair needs some:
+
+    seen together in ``support`` documents or more: the log-likelihood ratio of the pair against chance is at least EVIDENCE
+    in fewer: the term stands within ``near`` characters of the entity, where chance would put no more than ``chance``
+    terms as telling. Chance is the number of words there times the share of such terms among the words elsewhere in
+    the document, mixed with PRIOR_WORDS words' worth of the share over all documents with entities. The count is
+    discounted by n(e, t) / support.
+
+Words of one or two letters are not judged.
 """
 
 from __future__ import annotations
@@ -20,9 +27,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import fits, stored, table, text_of
+from obsframe.session import broadcast_cells
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
+#: Least log-likelihood ratio of a pair seen often: one chance pair in a thousand reaches it.
+EVIDENCE = 10.83
+#: Words of all documents with entities that a document's own share of telling words is mixed with.
+PRIOR_WORDS = 100
+#: Characters of a stretch of text by which words meet the windows around entities.
+STRETCH = 64
 
 # Each pattern finds what the plain one finds: possessive loops where no backtracking can succeed, and no
 # second try inside a run whose beginning failed, so that long runs cost linear time and no stack.
@@ -188,17 +202,66 @@ def pairs_of(docs: DataFrame, words: DataFrame, members: DataFrame, total: int,
     return own.join(_small(terms), "term").join(_small(members), "key").where(possible)
 
 
+def beside(words: DataFrame, spans: DataFrame, reach: int) -> DataFrame:
+    """key, group, term, start: the words that a window of ``reach`` characters around an entity of the group touches.
+
+    Words and windows meet by the stretches of text they lie in, so a document's words are not paired with its entities.
+    """
+    over = lambda first, end: F.explode(F.sequence(F.floor(first / STRETCH), F.floor((end - 1) / STRETCH)))
+    at = spans.select("key", "group", (F.col("start") - reach).alias("__from"), (F.col("stop") + reach).alias("__to"))
+    at = at.withColumn("stretch", over(F.col("__from"), F.col("__to")))
+    placed = words.withColumn("stretch", over(F.col("start"), F.col("stop")))
+    met = placed.join(at, ["key", "stretch"]).where((F.col("start") < F.col("__to")) & (F.col("stop") > F.col("__from")))
+    return met.select("key", "group", "term", "start").distinct()
+
+
+def stand_out(pairs: DataFrame, words: DataFrame, close: DataFrame, chance: float) -> DataFrame:
+    """key, group: where no more than ``chance`` telling terms are expected beside the group's entities."""
+    by, telling = ["key", "group"], pairs.select("key", "group", "term")
+    size = words.groupBy("key").agg(F.count("*").alias("words"))
+    there = close.groupBy(*by).agg(F.count("*").alias("close"))
+    tells = words.select("key", "term").join(telling, ["key", "term"]).groupBy(*by).agg(F.count("*").alias("tells"))
+    tells_there = close.join(telling, [*by, "term"]).groupBy(*by).agg(F.count("*").alias("both"))
+    both = there.join(tells, by, "full").join(tells_there, by, "left").join(size, "key")
+    c = lambda name: F.coalesce(F.col(name), F.lit(0))
+    both = stored(
+        both.select(*by, c("close").alias("close"), (c("tells") - c("both")).alias("telling"), (F.col("words") - c("close")).alias("elsewhere")), "beside"
+    )
+    whole = both.agg(F.sum("telling").alias("telling"), F.sum("elsewhere").alias("elsewhere")).first()
+    share = (whole["telling"] or 0) / max(whole["elsewhere"] or 0, 1)
+    mixed = (F.col("telling") + PRIOR_WORDS * share) / (F.col("elsewhere") + PRIOR_WORDS)
+    return both.where(F.col("close") * mixed <= chance).select("key", "group")
+
+
+def _ratio(together: Column, n_entity: Column, n_term: Column, total: int) -> Column:
+    """Log-likelihood ratio of a pair's two-by-two table of documents against independence."""
+    n = F.lit(float(total))
+
+    def cell(seen: Column, a: Column, b: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (a * b))).otherwise(0.0)
+
+    return 2 * (
+        cell(together, n_entity, n_term) + cell(n_entity - together, n_entity, n - n_term)
+        + cell(n_term - together, n - n_entity, n_term) + cell(n - n_entity - n_term + together, n - n_entity, n - n_term)
+    )
+
+
 def disclosing(pairs: DataFrame, total: int, support: int, generalise_at: float, remove_at: float) -> DataFrame:
-    """group, term, kind for the pairs whose mutual information reaches a threshold."""
+    """group, term, kind for the pairs (with ``apart``: whether they stand out there) that have evidence and whose
+    mutual information reaches a threshold."""
     n = F.lit(float(total))
     counted = pairs.groupBy("group", "term").agg(
-        F.sum("weight").alias("together"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
-    )
-    trust = F.least(F.col("together") / support, F.lit(1.0))
+        F.sum("weight").alias("together"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"),
+        F.max("apart").alias("apart"),
+    )
+    together = F.col("together")
+    trust = F.least(together / support, F.lit(1.0))
     content = F.log2(n / F.col("n_entity"))
-    shared = F.log2(n * trust * F.col("together") / (F.col("n_entity") * F.col("n_term")))
+    shared = F.log2(n * trust * together / (F.col("n_entity") * F.col("n_term")))
     kind = F.when(shared >= remove_at * content, "remove").when(shared >= generalise_at * content, "generalise")
-    return counted.select("group", "term", kind.alias("kind")).where(F.col("kind").isNotNull())
+    often = _ratio(together, F.col("n_entity"), F.col("n_term"), total) >= EVIDENCE
+    evident = F.when(together >= support, often).otherwise(F.col("apart"))
+    return counted.where(evident).select("group", "term", kind.alias("kind")).where(F.col("kind").isNotNull())
 
 
 def find_spans(
@@ -207,6 +270,8 @@ def find_spans(
     support: int = 3,
     generalise_at: float = 0.6,
     remove_at: float = 0.9,
+    near: int = 48,
+    chance: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, key, email, ip, card, phone (base spans), terms
     (added spans of the kinds generalise and remove). Offsets are code points, ends exclusive.
@@ -215,7 +280,7 @@ def find_spans(
     get the same spans; an empty table gives no rows. Other columns of ``docs`` are ignored.
     """
     base = base_spans(docs).drop("text")
-    added = revealing(docs, reach, support, generalise_at, remove_at)
+    added = revealing(docs, reach, support, generalise_at, remove_at, near, chance)
     none = F.array().cast(SPAN)
     return base.join(added, "key", "left").withColumn("terms", F.coalesce("terms", none))
 
@@ -226,6 +291,8 @@ def revealing(
     support: int = 3,
     generalise_at: float = 0.6,
     remove_at: float = 0.9,
+    near: int = 48,
+    chance: float = 0.5,
 ) -> DataFrame:
     """key, terms: the added spans of the rows that have some."""
     base = base_spans(docs).withColumn("base", F.concat(*KINDS))
@@ -240,11 +307,11 @@ def revealing(
     members = stored(spans.select("key", "weight", "group", "n_entity").distinct(), "members")
     pairs = counted = stored(pairs_of(docs, words, members, total, generalise_at), "pairs")
     if reach is not None:
-        at = spans.select("key", "group", F.col("start").alias("__start"), F.col("stop").alias("__stop"))
-        close = (F.col("start") < F.col("__stop") + reach) & (F.col("stop") > F.col("__start") - reach)
-        near = words.join(at, "key").where(close).select("key", "group", "term").distinct()
-        counted = pairs.join(near, ["key", "group", "term"])
-    told = stored(disclosing(counted, total, support, generalise_at, remove_at), "told")
+        counted = pairs.join(beside(words, spans, reach).select("key", "group", "term").distinct(), ["key", "group", "term"])
+    close = stored(beside(words, spans, near), "close")
+    apart = close.select("key", "group", "term").distinct().join(stand_out(pairs, words, close, chance), ["key", "group"]).withColumn("apart", F.lit(True))
+    judged = counted.join(apart, ["key", "group", "term"], "left").withColumn("apart", F.coalesce("apart", F.lit(False)))
+    told = stored(disclosing(judged, total, support, generalise_at, remove_at), "told")
     marked = pairs.join(_small(told), ["group", "term"])
     marked = marked.groupBy("key", "term").agg(F.max("kind").alias("kind"))  # "remove" sorts after "generalise"
     added = (
@@ -285,12 +352,19 @@ def _masked(text: Column, spans: Column) -> Column:
     )
 
 
+def _spans_fit(added: DataFrame) -> bool:
+    """Whether all spans, three values each, are within the bound of a broadcast."""
+    spans = added.agg(F.sum(3 * F.size("terms") + 1)).first()[0] or 0
+    return spans <= broadcast_cells(added.sparkSession)
+
+
 def sanitise(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with personal data masked and revealing terms generalised or removed; null text becomes empty.
-    A column n_chars, where there is one, is brought up to date."""
+    A column n_chars, where there is one, is brought up to date. Rows repeated whole are treated alike and stay
+    repeated; a null doc_id is a value like any other; an empty table stays empty."""
     added = revealing(docs, **options)
     side = added.select(F.col("key").alias("__key"), F.col("terms").alias("__terms"))
-    side = F.broadcast(side) if fits(added) else side
+    side = F.broadcast(side) if _spans_fit(added) else side
     text = text_of()
     spans = F.concat(*[F.col(f"__{k}").cast(SPAN) for k in KINDS], F.coalesce("__terms", F.array().cast(SPAN)))
     found = docs.withColumns(
