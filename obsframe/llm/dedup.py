@@ -1,8 +1,9 @@
 """Exact duplicates against a persistent digest index. DataFrame operations only.
 
-The index is a table bucketed and sorted by digest with one row per distinct text: the digest and the
-document that stands for it. A batch is reduced to its digests, anti-joined to the index by a sort-merge
-join (the index side is read in bucket order, neither shuffled nor sorted) and what is new is appended.
+The index is a table bucketed and sorted by digest with one row per distinct text: the digest, the document that
+stands for it and the batch that brought it. A batch is reduced to its digests and anti-joined to the index by a
+sort-merge join; the index side is read by buckets and not shuffled (Spark sorts each bucket again, as several batches
+leave several files in it). What is new is appended, and every document's answer is then read from the index.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsframe.llm.common import SPACE_CLASS, keep_rows, mark_of, stored, table, tasks, text_of
+from obsframe.session import scratch_dir
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -27,50 +29,45 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where indexes lie: in the folder of ``spark.checkpoint.dir``, beside what single sessions write there."""
+    return spark.conf.get("spark.checkpoint.dir", None) or scratch_dir(spark)
+
+
 class DigestIndex:
-    """``name`` is a catalogue table; it is created when absent and kept for later batches."""
+    """``name`` is a catalogue table, kept for later batches; it is created when absent, its files below
+    ``location`` or else in the shared folder."""
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None, location: str | None = None):
         self.spark, self.name, self.buckets = spark, name, buckets or tasks(spark)
+        place = location or f"{shared_folder(spark)}/digest-index/{name}"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT, n_chars BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS"
+            f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT, n_chars BIGINT, batch STRING) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{place}'"
         )
 
-    def add(self, docs: DataFrame) -> DataFrame:
+    def add(self, docs: DataFrame, batch: str | None = None) -> DataFrame:
         """Decide about each row of ``docs`` (doc_id, text) and append the texts not seen before.
 
         Returns doc_id, mark, row, keep_id, group_size (rows of this batch with the text), kept, digest. Of equal
         texts the longest original stays, then the smallest doc_id; a text known from an earlier batch is
         never kept again and names the document of that batch. Null text counts as empty; a null doc_id
         stays only if no other row has the text; of rows repeated whole exactly one stays. An empty batch
-        gives no rows.
+        gives no rows. A batch added again under its own name, as after a failure, gets the same answer.
         """
+        batch = batch or uuid.uuid4().hex
         rows = stored(digests(docs), "digests")
         # smallest struct: most characters, then smallest doc_id, nulls last. Combined before the shuffle.
         order = F.struct((-F.col("n_chars")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "row")
         groups = stored(
             rows.groupBy("digest").agg(F.min(order).alias("best"), F.count("*").alias("group_size")), "groups"
         )
-        known = self.spark.table(self.name)
         fresh = stored(
-            groups.join(known.hint("merge"), "digest", "left_anti").select(
-                "digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.less")).alias("n_chars")
+            groups.join(self.spark.table(self.name).hint("merge"), "digest", "left_anti").select(
+                "digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.less")).alias("n_chars"), F.lit(batch).alias("batch")
             ),
             "fresh",
         )
-        earlier = groups.join(known.hint("merge"), "digest").select("digest", known.keep_id)
-        decided = stored(
-            groups.join(
-                earlier.withColumnRenamed("keep_id", "earlier_id").withColumn("seen", F.lit(True)), "digest", "left"
-            ).select(
-                "digest",
-                "group_size",
-                F.when(F.col("seen"), F.col("earlier_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
-                F.when(F.col("seen"), F.lit(-1)).otherwise(F.col("best.row")).alias("keep_row"),
-            ),
-            "decided",
-        )
         (
             fresh.repartition(self.buckets, "digest")
             .write.format("parquet")
@@ -79,6 +76,14 @@ class DigestIndex:
             .mode("append")
             .saveAsTable(self.name)
         )
+        known = self.spark.table(self.name).hint("merge")
+        own = F.col("batch") == batch
+        decided = stored(
+            groups.join(known, "digest").select(
+                "digest", "group_size", "keep_id", F.when(own, F.col("best.row")).otherwise(F.lit(-1)).alias("keep_row")
+            ),
+            "decided",
+        )
         # Plain shuffles on both sides, so that adaptive execution splits a digest that fills a partition.
         return rows.join(decided.hint("merge"), "digest").select(
             "doc_id", "mark", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"
@@ -86,13 +91,18 @@ class DigestIndex:
 
 
 def exact_dedup(docs: DataFrame, index: str | None = None) -> DataFrame:
-    """Decisions for one table; without a name the index starts empty."""
+    """Decisions for one table; without a name the index starts empty and leaves the catalogue afterwards."""
     spark = docs.sparkSession
-    return DigestIndex(spark, index or f"digest_index_{uuid.uuid4().hex}").add(docs)
+    name = index or f"digest_index_{uuid.uuid4().hex}"
+    decided = DigestIndex(spark, name).add(docs)
+    if index is None:  # the decisions are written, they do not read it again
+        spark.sql(f"DROP TABLE {name}")
+    return decided
 
 
 def without_copies(docs: DataFrame, index: str | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns; which rows do, and nulls, repeats and empty tables, as in
+    :meth:`DigestIndex.add`."""
     return keep_rows(docs, stored(exact_dedup(docs, index), "decisions"))
 
 

@@ -78,3 +78,22 @@ def test_index_is_not_shuffled(spark):
     text = groups.join(spark.table(name).hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning(digest") == 1
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_answers_are_the_index(spark):
+    """keep_id is what the index holds; a batch added again gets the same answer; nothing is left behind."""
+    name = f"answers_{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(d, x) for d, x in ODD], "doc_id long, text string")
+    index = dedup.DigestIndex(spark, name, buckets=3)
+    answers = lambda f: sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, bytes(r.digest)) for r in f.collect())
+    first = answers(index.add(df, "monday"))
+    held = {bytes(r.digest): str(r.keep_id) for r in spark.table(name).collect()}
+    assert all(held[d] == keep for _, keep, _, _, d in first) and len(held) == len({d for *_, d in first})
+    assert answers(index.add(df, "monday")) == first and spark.table(name).count() == len(held)
+    assert not any(kept for _, _, _, kept, _ in answers(index.add(df, "tuesday")))
+    location = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first().data_type
+    assert location.removeprefix("file:").startswith(dedup.shared_folder(spark).removeprefix("file:"))
+    spark.sql(f"DROP TABLE {name}")
+    before = spark.catalog.listTables()
+    dedup.exact_dedup(df).collect()
+    assert len(spark.catalog.listTables()) == len(before)
