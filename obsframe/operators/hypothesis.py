@@ -5,14 +5,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsframe.binding import Binding
 from obsframe.functions import scalar as S
 from obsframe.functions import special
-from obsframe.operators.ordering import average_rank, numbered, over_order, quantiles, same_rows
-from obsframe.session import attach, bounded, cut, link
+from obsframe.operators.ordering import numbered, over_order, quantiles, same_rows
+from obsframe.session import attach, bounded, cut, group_rows, link
 
 ALPHA = 0.05
 ROYSTON_MOST = 5000  # largest sample that the approximation of p was fitted for
@@ -274,34 +277,77 @@ def t_tests(pairs: DataFrame) -> DataFrame:
 
 
 def mann_whitney(df: DataFrame, b: Binding, pairs: DataFrame) -> DataFrame:
-    """U of the first sample of each pair with its tie-corrected normal score."""
-    v, k = b.value, F.col(b.key[0])
-    rows = df.where(F.col(v).isNotNull()).select(k.alias("__k"), F.col(v).alias("__v"))
-    in_pair = (F.col("__k") == F.col("key_a")) | (F.col("__k") == F.col("key_b"))
-    # ``pairs`` holds the caller's own arguments, so its size is theirs; a row
-    # reaches only the pairs its key is part of
-    sides = pairs.select("key_a", "key_b", F.explode(F.array("key_a", "key_b")).alias("__k")).distinct()
-    rows = rows.join(bounded(sides), "__k").where(in_pair)
-    pair = ("key_a", "key_b")
-    ranked = average_rank(rows, pair, "__v", "__rank")
-    first = F.col("__k") == F.col("key_a")
-    sums = ranked.groupBy(*pair).agg(
-        F.sum(F.when(first, F.col("__rank"))).alias("rank_sum_a"),
-        F.count_if(first).cast("double").alias("m_a"),
-        F.count_if(~first).cast("double").alias("m_b"),
-    )
-    ties = rows.groupBy(*pair, "__v").agg(F.count(F.lit(1)).cast("double").alias("t"))
-    ties = ties.groupBy(*pair).agg(F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("ties"))
-    out = link(sums, ties, pair, "inner")
+    """U of the first sample of each pair with its tie-corrected normal score.
+
+    All pairs are answered from one table of value counts per key, cut into ranges of the value: neither rows nor
+    counts are copied or sorted per pair. A range gives each pair the U of its own values; those of the first
+    sample also beat all of the second's in earlier ranges, which the counts per key and range tell. Values are
+    compared as doubles; a null key is a key; pairs with an empty side have no row.
+    """
+    spark, pair = df.sparkSession, ("key_a", "key_b")
+    kind = df.schema[b.key[0]].dataType.simpleString()
+    # the pairs are the caller's own arguments
+    asked = [tuple(r) for r in pairs.select(*pair).distinct().collect()]
+    number = {k: i for i, k in enumerate(dict.fromkeys(k for p in asked for k in p))}
+    sides = spark.createDataFrame([(k, i) for k, i in number.items()], f"__k {kind}, side int")
+    wanted = spark.createDataFrame([(a, z, number[a], number[z]) for a, z in asked], f"key_a {kind}, key_b {kind}, a int, b int")
+    rows = df.select(F.col(b.key[0]).alias("__k"), F.col(b.value).cast("double").alias("x")).where("x is not null")
+    counts = cut(link(rows, bounded(sides), ("__k",), "inner").groupBy("side", "x").agg(F.count(F.lit(1)).alias("c")))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts.count() // group_rows(spark)))
+    # equal values of all keys share a range; each has a single row per key, so none is hot
+    counts = cut(counts.repartitionByRange(ranges, "x").withColumn("part", F.spark_partition_id()))
+    near = counts.mapInPandas(within_range([(number[a], number[z]) for a, z in asked]), "a int, b int, u double, shared double")
+    near = near.groupBy("a", "b").agg(F.sum("u").alias("u"), F.sum("shared").alias("shared"))
+
+    c = F.col("c").cast("double")
+    held = cut(counts.groupBy("side", "part").agg(F.sum(c).alias("n"), F.sum(c * c * c - c).alias("ties")))
+    total = held.groupBy("side").agg(F.sum("n").alias("m"), F.sum("ties").alias("ties"))
+    # a row per key and range, also where the key has no values there
+    every = sides.select("side").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
+    every = link(every, held.drop("ties"), ("side", "part")).fillna(0.0, ["n"])
+    before = F.coalesce(F.sum("n").over(W.partitionBy("side").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    every = cut(every.withColumn("before", before))
+    first = every.select(F.col("side").alias("a"), "part", F.col("n").alias("n_a"))
+    second = every.select(F.col("side").alias("b"), "part", F.col("before").alias("b_before"))
+    far = link(link(wanted.select("a", "b"), first, ("a",), "inner"), second, ("b", "part"), "inner")
+    far = far.groupBy("a", "b").agg(F.sum(F.col("n_a") * F.col("b_before")).alias("far"))
+
+    out = link(link(wanted, near, ("a", "b")), far, ("a", "b"))
+    for side in ("a", "b"):
+        out = link(out, total.select(F.col("side").alias(side), F.col("m").alias(f"m_{side}"), F.col("ties").alias(f"ties_{side}")), (side,), "inner")
     ma, mb = F.col("m_a"), F.col("m_b")
-    total = ma + mb
-    u = F.col("rank_sum_a") - ma * (ma + 1) / 2
-    sd = F.sqrt(ma * mb / 12 * (total + 1 - F.col("ties") / (total * (total - 1))))
-    out = out.withColumn("u", u)
+    n = ma + mb
+    ties = F.col("ties_a") + F.col("ties_b") + F.coalesce("shared", F.lit(0.0))
+    sd = F.sqrt(ma * mb / 12 * (n + 1 - F.try_divide(ties, n * (n - 1))))
+    out = out.withColumn("u", F.coalesce("u", F.lit(0.0)) + F.coalesce("far", F.lit(0.0)))
     z = F.try_divide(F.greatest(F.col("u"), ma * mb - F.col("u")) - ma * mb / 2 - 0.5, sd)
     return out.withColumn("z", z).select(*pair, "u", "z", F.lit("asymptotic").alias("p_method"))
 
 
+def within_range(asked: Sequence[tuple[int, int]]):
+    """Function for mapInPandas on the counts of a range of values: each pair's U inside it, and what values held
+    by both sides add to the sum of t^3 - t over ties."""
+
+    def run(batches):
+        frames = [pdf for pdf in batches if len(pdf)]
+        if not frames:
+            return
+        pdf = pd.concat(frames).sort_values("x", kind="stable")
+        held = {s: (g["x"].to_numpy(), g["c"].to_numpy(dtype=float)) for s, g in pdf.groupby("side")}
+        out = []
+        for a, b in asked:
+            if a not in held or b not in held:
+                continue
+            (x, c), (y, d) = held[a], held[b]
+            lo, hi = np.searchsorted(y, x, side="left"), np.searchsorted(y, x, side="right")
+            run_d = np.concatenate([[0.0], np.cumsum(d)])
+            tied = run_d[hi] - run_d[lo]
+            out.append((a, b, float((c * (run_d[lo] + tied / 2)).sum()), float((3 * c * tied * (c + tied)).sum())))
+        yield pd.DataFrame(out, columns=["a", "b", "u", "shared"])
+
+    return run
+
+
 def levene_pairs(df: DataFrame, b: Binding, pairs: DataFrame) -> DataFrame:
     """Levene W of each pair, from the per-key deviations."""
     sides = side_by_side(deviations(df, b.key, b.value), b, pairs)
@@ -363,22 +409,13 @@ def decide(both: DataFrame) -> DataFrame:
 
 
 def sentence(significant: Column) -> Column:
-    higher = F.when(F.col("difference") > 0, "higher").otherwise("lower")
-    effect = S.effect_label(F.col("effect_size"))
-    weight = F.when(effect.isin("medium", "large"), "practically meaningful").otherwise("detectable but small")
-    size = F.abs("difference")
-    return F.when(
-        significant,
-        F.format_string(
-            "%s lies %s than %s beyond chance, by %.2f (p %.4f); the effect is %s, %s",
-            F.col("key_a").cast("string"), higher, F.col("key_b").cast("string"), size, F.col("p_value"), effect, weight,
-        ),
-    ).otherwise(
-        F.format_string(
-            "%s and %s may be alike (p %.3f at a difference of %.2f)",
-            F.col("key_a").cast("string"), F.col("key_b").cast("string"), F.col("p_value"), size,
-        )
-    )
+    """The result in words; the size of the effect has its own column."""
+    above = F.when(F.col("difference") > 0, "above").otherwise("below")
+    names = [F.col("key_a").cast("string"), F.col("key_b").cast("string")]
+    told = F.format_string("Mean of %s is %.2f %s that of %s (p = %.4f)", names[0], F.abs("difference"), above, names[1], F.col("p_value"))
+    return F.when(significant, told).otherwise(
+        F.format_string("No difference shown between %s and %s (p = %.4f)", *names, F.col("p_value"))
+    )
 
 
 def cohen_d() -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsframe.operators.order_statistics import at_share, order_statistics
-from obsframe.session import attach, bounded, cut, group_rows, link
+from obsframe.session import attach, bounded, bounded_rows, cut, group_rows, link
 
 
 def largest_group(df: DataFrame, key: Sequence[str]) -> int:
@@ -159,16 +159,45 @@ def quantiles(
     return link(out.drop("__rows"), placed, tuple(key))
 
 
+def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], weight: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over the rows of the key that come earlier; ``order`` must be unique in the key.
+
+    Beyond the group limit a range sort spreads a key over partitions. Each adds up its own rows and starts
+    from the sums of the earlier partitions, of which there is a row per key and partition.
+    """
+    earlier = lambda w: F.coalesce(F.sum(weight).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    if fits_one_task(df, key):
+        return same_rows(df, df.withColumn(name, earlier(W.partitionBy(*key).orderBy(*order))))
+    ranged = cut(df.repartitionByRange(*key, *order).withColumn("__part", F.spark_partition_id()))
+    sums = ranged.groupBy(*key, "__part").agg(F.sum(weight).alias(weight))
+    sums = sums.withColumn("__before", earlier(W.partitionBy(*key).orderBy("__part"))).drop(weight)
+    out = ranged.withColumn(name, earlier(W.partitionBy(*key, "__part").orderBy(*order)))
+    out = attach(out, sums, (*key, "__part"), "inner")
+    return same_rows(df, out.withColumn(name, F.col(name) + F.col("__before")).drop("__part", "__before"))
+
+
 def average_rank(df: DataFrame, key: Sequence[str], value: str, name: str, descending: bool = False) -> DataFrame:
-    """Rank of ``value`` inside ``key`` from 1, equal values sharing their mean rank."""
+    """Rank of ``value`` inside ``key`` from 1, equal values sharing their mean rank.
+
+    Beyond the group limit ranks come from the counts of the distinct values, added up map-side; rows are not
+    sorted. Values that alone exceed the limit are few and broadcast, so no join key is hot.
+    """
     order = F.col(value).desc() if descending else F.col(value).asc()
     if fits_one_task(df, key):
         w = W.partitionBy(*key).orderBy(order)
         # a range of no width holds the ties, in the same sort as the rank
         ties = F.count(F.lit(1)).over(w.rangeBetween(W.currentRow, W.currentRow))
         return same_rows(df, df.withColumn(name, F.rank().over(w) + (ties - 1) / 2.0))
-    signed = df.withColumn("__v", -F.col(value) if descending else F.col(value))
-    placed = positions(signed, key, ["__v"], "__pos")
-    ranks = placed.groupBy(*key, "__v").agg((F.avg("__pos") + 1).alias(name))
-    # few distinct values: no shuffle, so that one value's ties stay where they are
-    return attach(placed.drop("__pos"), ranks, (*key, "__v"), "inner").drop("__v")
+    at = (*key, value)
+    counts = cut(df.groupBy(*at).agg(F.count(F.lit(1)).alias("__c")))
+    signed = counts.withColumn("__s", -F.col(value) if descending else F.col(value))
+    ranks = running_total(signed, key, ["__s"], "__c", "__below").withColumn(name, F.col("__below") + (F.col("__c") + 1) / 2.0)
+    ranks = cut(ranks.select(*at, "__c", name))
+    if bounded_rows(ranks):
+        return same_rows(df, link(df, F.broadcast(ranks.drop("__c")), at, "inner"))
+    hot = F.col("__c") > group_rows(df.sparkSession)
+    common = bounded(ranks.where(hot).select(*at, F.col(name).alias("__hot")))
+    marked = link(df, common, at)
+    placed = marked.where(F.col("__hot").isNotNull()).withColumnRenamed("__hot", name)
+    rest = link(marked.where(F.col("__hot").isNull()).drop("__hot"), ranks.where(~hot).drop("__c"), at, "inner")
+    return same_rows(df, placed.unionByName(rest))

@@ -199,27 +199,28 @@ def residual_diagnostics(spark, sf_dir):
     return rounded(rounded(df, 6, ("mean_residual",)))
 
 
-def weights_sql(source: str, key: str) -> str:
-    """CTEs up to ``w``: Shapiro-Wilk W of column x of ``source`` per key, by ranks and weights."""
+def weights_sql(source: str, key: str, p: str = "") -> str:
+    """CTEs up to ``w``: Shapiro-Wilk W of column x of ``source`` per key, by ranks and weights;
+    ``p`` goes before the names of the CTEs."""
     near = f"q * {special.ratio_sql('(0.180625 - q * q)', special.NEAR)}"
     far = f"sign(q) * {special.ratio_sql('(t - 1.6)', special.FAR)}"
     farthest = f"sign(q) * {special.ratio_sql('(t - 5.0)', special.FARTHEST)}"
     edge = lambda c: " + ".join(f"{v!r} * pow(1 / sqrt(n), {i})" for i, v in enumerate(c))
-    return f"""r AS (SELECT {key}, x, row_number() OVER (PARTITION BY {key} ORDER BY x) AS i,
+    return f"""{p}r AS (SELECT {key}, x, row_number() OVER (PARTITION BY {key} ORDER BY x) AS i,
     count(*) OVER (PARTITION BY {key}) AS n, avg(x) OVER (PARTITION BY {key}) AS centre FROM {source}),
-    q AS (SELECT *, (i - 0.375) / (n + 0.25) - 0.5 AS q FROM r),
-    t AS (SELECT *, sqrt(-ln(0.5 - abs(q))) AS t FROM q),
-    m AS (SELECT *, CASE WHEN abs(q) <= 0.425 THEN {near} WHEN t <= 5 THEN {far} ELSE {farthest} END AS m FROM t),
-    s AS (SELECT {key}, n, sum(m * m) AS ss, max(m) FILTER (WHERE i = n) AS m1, max(m) FILTER (WHERE i = n - 1) AS m2
-    FROM m WHERE n >= 3 GROUP BY 1, 2),
-    a AS (SELECT *, CASE WHEN n = 3 THEN sqrt(0.5) ELSE m1 / sqrt(ss) + {edge(H.LAST_WEIGHT)} END AS a1,
-    CASE WHEN n > 5 THEN m2 / sqrt(ss) + {edge(H.NEXT_WEIGHT)} END AS a2 FROM s),
-    f AS (SELECT *, (ss - 2 * m1 * m1 - CASE WHEN n > 5 THEN 2 * m2 * m2 ELSE 0 END)
-    / (1 - 2 * a1 * a1 - coalesce(2 * a2 * a2, 0)) AS phi FROM a),
-    g AS (SELECT m.{key}, m.n, x - centre AS off, sign(m) * CASE WHEN least(i - 1, m.n - i) = 0 THEN a1
+    {p}q AS (SELECT *, (i - 0.375) / (n + 0.25) - 0.5 AS q FROM {p}r),
+    {p}t AS (SELECT *, sqrt(-ln(0.5 - abs(q))) AS t FROM {p}q),
+    {p}m AS (SELECT *, CASE WHEN abs(q) <= 0.425 THEN {near} WHEN t <= 5 THEN {far} ELSE {farthest} END AS m FROM {p}t),
+    {p}s AS (SELECT {key}, n, sum(m * m) AS ss, max(m) FILTER (WHERE i = n) AS m1, max(m) FILTER (WHERE i = n - 1) AS m2
+    FROM {p}m WHERE n >= 3 GROUP BY 1, 2),
+    {p}a AS (SELECT *, CASE WHEN n = 3 THEN sqrt(0.5) ELSE m1 / sqrt(ss) + {edge(H.LAST_WEIGHT)} END AS a1,
+    CASE WHEN n > 5 THEN m2 / sqrt(ss) + {edge(H.NEXT_WEIGHT)} END AS a2 FROM {p}s),
+    {p}f AS (SELECT *, (ss - 2 * m1 * m1 - CASE WHEN n > 5 THEN 2 * m2 * m2 ELSE 0 END)
+    / (1 - 2 * a1 * a1 - coalesce(2 * a2 * a2, 0)) AS phi FROM {p}a),
+    {p}g AS (SELECT m.{key}, m.n, x - centre AS off, sign(m) * CASE WHEN least(i - 1, m.n - i) = 0 THEN a1
     WHEN least(i - 1, m.n - i) = 1 AND a2 IS NOT NULL THEN a2 WHEN m = 0 THEN 0 ELSE abs(m) / sqrt(phi) END AS a
-    FROM m JOIN f ON m.{key} = f.{key}),
-    w AS (SELECT {key}, n, round(least(pow(sum(a * off), 2) / sum(off * off), 1.0), 6) AS w FROM g GROUP BY 1, 2)"""
+    FROM {p}m m JOIN {p}f f ON m.{key} = f.{key}),
+    {p}w AS (SELECT {key}, n, round(least(pow(sum(a * off), 2) / sum(off * off), 1.0), 6) AS w FROM {p}g GROUP BY 1, 2)"""
 
 
 @query("shapiro")
@@ -365,6 +366,41 @@ def two_sample_auto(spark, sf_dir):
     return H.two_sample(table(spark, sf_dir, "events"), EVENTS, PAIRS)
 
 
+def polynomial(x: str, coefficients) -> str:
+    return "(" + " + ".join(f"{c!r} * pow({x}, {i})" for i, c in enumerate(coefficients)) + ")"
+
+
+# normal and equal-variance by the 5% points of their statistics, for samples of more than 11 values
+CHOICE_SQL = f"""WITH {MOMENTS_SQL}, {RANK_SQL}, v AS (SELECT event_type, value AS x FROM events),
+    {weights_sql('v', 'event_type', 'w')},
+    c AS (SELECT event_type, x - avg(x) OVER (PARTITION BY event_type) AS o FROM v),
+    j AS (SELECT event_type, count(*) / 6.0 * (pow(avg(pow(o, 3)) / pow(avg(o * o), 1.5), 2)
+    + pow(avg(pow(o, 4)) / pow(avg(o * o), 2) - 3, 2) / 4) AS jb FROM c GROUP BY 1),
+    e AS (SELECT event_type, CASE WHEN ww.n > {H.ROYSTON_MOST} THEN exp(-jb / 2) > 0.05
+    ELSE (ln(1 - ww.w) - {polynomial('ln(ww.n)', H.LARGE_MEAN)}) / exp({polynomial('ln(ww.n)', H.LARGE_LOG_SD)})
+    < 1.6448536269514722 END AS normal FROM ww JOIN j USING (event_type)),
+    md AS (SELECT event_type, median(value) AS med FROM events GROUP BY 1),
+    z AS (SELECT event_type, abs(value - med) AS z FROM events JOIN md USING (event_type)),
+    lp AS (SELECT key_a, key_b, event_type, count(*) AS n, avg(z) AS zm, var_pop(z) AS zv
+    FROM z JOIN pairs ON event_type IN (key_a, key_b) GROUP BY 1, 2, 3),
+    l AS (SELECT key_a, key_b, sum(n) - 2 AS d2, (sum(n) - 2) * (sum(n * zm * zm) - sum(n * zm) * sum(n * zm) / sum(n))
+    / sum(n * zv) AS levene FROM lp GROUP BY 1, 2),
+    k AS (SELECT s.*, u.u, CASE WHEN NOT (ea.normal AND eb.normal) THEN 'mann_whitney'
+    WHEN levene < pow({critical_t('d2')}, 2) THEN 'student' ELSE 'welch' END AS test_used
+    FROM s JOIN u ON s.key_a = u.key_a AND s.key_b = u.key_b JOIN l ON s.key_a = l.key_a AND s.key_b = l.key_b
+    JOIN e ea ON s.key_a = ea.event_type JOIN e eb ON s.key_b = eb.event_type)
+    SELECT key_a, key_b, na AS n_a, nb AS n_b, test_used, round(CASE test_used WHEN 'mann_whitney' THEN u
+    WHEN 'student' THEN (ma - mb) / sqrt(pooled * (1.0 / na + 1.0 / nb)) ELSE (ma - mb) / sqrt(va / na + vb / nb) END, 6)
+    + 0.0 AS statistic, CASE test_used WHEN 'mann_whitney' THEN 'rank_biserial' ELSE 'cohen_d' END AS effect_type FROM k"""
+
+
+@query("two_sample_choice", CHOICE_SQL)
+def two_sample_choice(spark, sf_dir):
+    """Which test every pair of event types gets, and its statistic."""
+    df = two_sample_auto(spark, sf_dir)
+    return rounded(df.select("key_a", "key_b", "n_a", "n_b", "test_used", "statistic", "effect_type"), 6)
+
+
 @query("two_sample_priorities")
 def two_sample_priorities(spark, sf_dir):
     b = Binding(key=("o_orderpriority",), ts="o_orderdate", values=("o_totalprice",), id=("o_orderkey",))

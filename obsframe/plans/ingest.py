@@ -144,7 +144,7 @@ def stream_unique(spark, sf_dir):
     """SELECT event_type, max(ts) AS last_seen, arg_max(value, (ts, event_id)) AS latest_value FROM events GROUP BY 1""",
 )
 def stream_latest(spark, sf_dir):
-    return live.run_available(live.latest_values(event_stream(spark, sf_dir), EVENTS), "complete")
+    return live.latest_available(event_stream(spark, sf_dir), EVENTS)
 
 
 @query(

@@ -80,10 +80,15 @@ def same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
     )
 
 
+def bounded_rows(small: DataFrame) -> bool:
+    """Whether an already materialised frame is small enough, counted, to be broadcast."""
+    rows = max(1, broadcast_cells(small.sparkSession) // max(1, len(small.columns)))
+    return small.limit(rows + 1).count() <= rows
+
+
 def bounded(small: DataFrame) -> DataFrame:
     """Hint a broadcast for an already materialised frame if its counted size allows it."""
-    rows = max(1, broadcast_cells(small.sparkSession) // max(1, len(small.columns)))
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+    return F.broadcast(small) if bounded_rows(small) else small
 
 
 def attach(rows: DataFrame, stats: DataFrame, on: tuple[str, ...], how: str = "left") -> DataFrame:

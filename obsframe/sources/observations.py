@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,11 +115,56 @@ def new_rows(batch: DataFrame, existing: DataFrame, keys: tuple[str, ...]) -> Da
     return unique.join(held, same(unique, held, {k: f"__{k}" for k in keys}), "left_anti")
 
 
+#: Partitions of a batch that are named one by one in the filter on the target.
+PARTITIONS_NAMED = 1000
+#: Types whose file statistics skip; floats are left out, because NaN has no place in them.
+SPANNED = (T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+
+
+def near_batch(existing: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """The rows of ``existing`` that can share a key with ``batch``.
+
+    One aggregate of the batch gives its partitions and the span of every other key. The partitions cut the folders
+    that are listed, the spans reach the file footers. A batch of more than ``PARTITIONS_NAMED`` partitions is
+    cut by span alone. Null keys are kept if the batch has any. An empty batch reads nothing.
+    """
+    kinds = {f.name: f.dataType for f in existing.schema.fields}
+    spanned = [k for k in keys if isinstance(kinds[k], SPANNED)]
+    # bounds travel as text or microseconds: exact, and free of the driver's time zone
+    exact = lambda c, k: F.unix_micros(c) if isinstance(kinds[k], T.TimestampType) else c.cast("string")
+    back = lambda v, k: F.timestamp_micros(F.lit(v)) if isinstance(kinds[k], T.TimestampType) else F.lit(v).cast(kinds[k])
+    ends = [x for k in spanned for x in (F.min(k).alias(f"lo_{k}"), F.max(k).alias(f"hi_{k}"), F.count_if(F.col(k).isNull()).alias(f"no_{k}"))]
+    spans = cut(batch.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("__n"), *ends))
+    whole = [
+        x
+        for k in spanned
+        for x in (exact(F.min(f"lo_{k}"), k).alias(f"lo_{k}"), exact(F.max(f"hi_{k}"), k).alias(f"hi_{k}"), F.sum(f"no_{k}").alias(f"no_{k}"))
+    ]
+    found = spans.agg(F.count(F.lit(1)).alias("__parts"), *whole).first()
+    if not found["__parts"]:
+        return existing.where(F.lit(False))
+    for k in spanned:
+        lo, hi = found[f"lo_{k}"], found[f"hi_{k}"]
+        inside = F.lit(False) if lo is None else F.col(k).between(back(lo, k), back(hi, k))
+        existing = existing.where(inside | F.col(k).isNull() if found[f"no_{k}"] else inside)
+    if found["__parts"] <= PARTITIONS_NAMED:
+        for p in partition_by:
+            if isinstance(kinds[p], SPANNED):
+                names = [r[0] for r in spans.select(exact(F.col(p), p)).distinct().collect()]
+                named = F.col(p).isin(*[back(v, p) for v in names if v is not None])
+                existing = existing.where(named | F.col(p).isNull() if None in names else named)
+    return existing
+
+
 def append_new(spark: SparkSession, batch: DataFrame, path: str, keys=("timestamp", "city_name"), partition_by=("city_name",)) -> int:
-    """Append only unseen keys to a Parquet table and return how many were added."""
+    """Append only unseen keys to a Parquet table and return how many were added.
+
+    Of the target only the partitions and the span of keys that the batch has are read.
+    """
+    batch = cut(batch)
     existing = read_table(spark, path, batch.schema)
     # materialised before the write: the anti-join reads the folder that the write adds to
-    fresh = cut(new_rows(batch, existing, tuple(keys)))
+    fresh = cut(new_rows(batch, near_batch(existing, batch, keys, partition_by), tuple(keys)))
     added = fresh.count()
     if added:
         stamped = fresh.withColumn("created_at", F.current_timestamp())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def online_zscore(stream: DataFrame, baseline: DataFrame, b: Binding, threshold:
     return zscore_flags(link(stream, baseline, b.key), b, threshold)
 
 
-def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
+def run_available(stream: DataFrame) -> DataFrame:
     """Process everything there is now, then return the rows written.
 
     Files and progress live under the shared checkpoint folder, so that a lost
@@ -73,16 +74,37 @@ def run_available(stream: DataFrame, mode: str = "append") -> DataFrame:
     spark = stream.sparkSession
     base = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = stream.schema
-    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{base}/progress")
-    out = f"{base}/rows"
-    if mode == "append":
-        query = writer.format("parquet").start(out)
-    else:
-        # an aggregate's current rows replace the earlier ones
-
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-
-        query = writer.foreachBatch(replace).start()
-    query.awaitTermination()
-    return spark.read.schema(schema).parquet(out)
+    writer = stream.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{base}/progress")
+    writer.format("parquet").start(f"{base}/rows").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{base}/rows")
+
+
+def keep_latest(stream: DataFrame, out: str, progress: str) -> None:
+    """Process everything there is now in update mode: only the keys a batch changed leave the state.
+
+    Each batch owns one folder, named by its number and overwritten if the batch runs again, so a replay
+    changes nothing. ``read_latest`` lets the newest row of a key replace the earlier ones.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    writer = stream.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", progress)
+    writer.foreachBatch(put).start().awaitTermination()
+
+
+def read_latest(spark: SparkSession, schema: T.StructType, key: Sequence[str], out: str) -> DataFrame:
+    """The row of every key as of the last batch written to ``out``."""
+    rest = [c for c in schema.names if c not in key]
+    held = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+    newest = held.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("__row"))
+    return newest.select(*key, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*schema.names)
+
+
+def latest_available(stream: DataFrame, b: Binding) -> DataFrame:
+    """Newest target per key over everything there is now, by changed keys only."""
+    spark = stream.sparkSession
+    base = f"{scratch_dir(spark)}/latest-{uuid.uuid4().hex}"
+    latest = latest_values(stream, b)
+    keep_latest(latest, f"{base}/rows", f"{base}/progress")
+    return read_latest(spark, latest.schema, b.key, f"{base}/rows")

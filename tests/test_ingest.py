@@ -68,6 +68,63 @@ def test_append_rejects_only_repeats(spark, tmp_path):
     assert spark.read.parquet(path).where("created_at is null").count() == 0
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_append_reads_only_what_it_can_meet(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert O.append_new(spark, observations(spark, [(1, "a"), (2, "a"), (1, "z")]), path) == 3
+    for part in (tmp_path / "table" / "city_name=z").glob("*.parquet"):
+        part.write_bytes(b"not parquet")  # reading it would fail
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    batch = observations(spark, [(2, "a"), (3, "a")])
+    plan = executed(O.near_batch(O.read_table(spark, path), batch, ("timestamp", "city_name"), ("city_name",)))
+    assert "PartitionFilters: [isnotnull(city_name" in plan and "GreaterThanOrEqual(timestamp,2024-01-01T02:00" in plan
+    assert O.append_new(spark, batch, path) == 1
+    assert O.append_new(spark, batch, path) == 0
+
+
+@pytest.mark.parametrize("named", [1000, 0])
+def test_near_batch_loses_no_key(spark, monkeypatch, named):
+    monkeypatch.setattr(O, "PARTITIONS_NAMED", named)
+    schema = "t timestamp, k string, n long"
+    day = lambda d: dt.datetime(2024, 3, d, 12, 30, 0, 123456)
+    held = spark.createDataFrame([(day(1), "a", 1), (day(5), "a", 2), (None, "a", 3), (day(3), None, 4), (day(3), "b", 5)], schema)
+    near = lambda rows: {r.n for r in O.near_batch(held, spark.createDataFrame(rows, schema), ("t", "k"), ("k",)).collect()}
+    assert {1} <= near([(day(1), "a", 0)]) and 2 not in near([(day(1), "a", 0)])
+    assert {1, 2, 3} <= near([(day(1), "a", 0), (day(5), "a", 0), (None, "a", 0)])
+    assert {4} <= near([(day(3), None, 0)]) and {3} <= near([(None, "a", 0)])
+    assert near([]) == set()
+    if named:
+        assert near([(day(3), "b", 0)]) == {5}
+
+
+def test_latest_values_of_changed_keys(spark, tmp_path):
+    schema = "t timestamp_ntz, k string, v double"
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    b = Binding(("k",), "t", ("v",))
+    first = [(at(1), "a", 1.0), (at(2), "b", 2.0), (at(1), None, 3.0)]
+    second = [(at(3), "a", None), (at(2), "a", 5.0), (at(0), None, 9.0)]
+
+    def run():
+        stream = live.latest_values(live.read_stream(spark, folder, spark.createDataFrame([], schema).schema, "*.parquet"), b)
+        live.keep_latest(stream, out, str(tmp_path / "progress"))
+        return live.read_latest(spark, stream.schema, b.key, out)
+
+    for rows in (first, second):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        got = run()
+    assert set(map(tuple, got.collect())) == {("a", at(3), 5.0), ("b", at(2), 2.0), (None, at(1), 3.0)}
+    held = spark.read.parquet(out)
+    assert held.where("batch = 1 and k = 'b'").count() == 0
+    # a batch that is put again takes the place of its first run
+    again = held.where("batch = 1").drop("batch").toPandas()
+    spark.createDataFrame(again, held.drop("batch").schema).write.mode("overwrite").parquet(f"{out}/batch=1")
+    assert live.read_latest(spark, got.schema, b.key, out).count() == 3
+
+
 def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "csv")
     df = observations(spark, [(1, "a"), (2, "b")])
