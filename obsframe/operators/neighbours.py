@@ -150,6 +150,42 @@ def whole_key_factor(points: DataFrame, key: Sequence[str], dims: Sequence[str],
     return spread(points, *key).groupBy(*key).applyInPandas(factor, ", ".join([*fields(points, [*key, *dims]), "lof double"]))
 
 
+def roomy_ancestors(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
+    """For every cell with no more than ``k`` points its nearest ancestor with more: ``a_lo``, ``a_hi`` (its box).
+
+    Only cells are counted and joined: a row per cell and level, added up to the nodes of the tree.
+    """
+    low, high = [F.min(d).alias(f"lo_{d}") for d in dims], [F.max(d).alias(f"hi_{d}") for d in dims]
+    held = cut(points.groupBy(*key, "cell").agg(F.sum("w").alias("w"), *low, *high))
+    above = F.explode(F.sequence(F.lit(depth - 1), F.lit(0), F.lit(-1))).alias("level")
+    node = F.col("cell").substr(F.lit(1), F.col("level")).alias("node")
+    boxes = [*[F.min(f"lo_{d}").alias(f"lo_{d}") for d in dims], *[F.max(f"hi_{d}").alias(f"hi_{d}") for d in dims]]
+    tree = held.select("*", above).select("*", node).groupBy(*key, "level", "node").agg(F.sum("w").alias("w"), *boxes)
+    roomy = tree.where(F.col("w") > k).drop("w")
+    thin = held.where(F.col("w") <= k).select(*key, "cell", above).select("*", node)
+    found = link(thin, roomy, (*key, "level", "node"), "inner")
+    corner = lambda side: F.array(*[F.col(f"{side}_{d}") for d in dims])
+    box = F.max_by(F.struct(corner("lo").alias("lo"), corner("hi").alias("hi")), "level").alias("box")
+    return found.groupBy(*key, "cell").agg(box).select(*key, "cell", F.col("box.lo").alias("a_lo"), F.col("box.hi").alias("a_hi"))
+
+
+def first_reach(points: DataFrame, local: DataFrame, depth: int, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
+    """Points with their place ``x`` and a distance ``r`` within which k neighbours lie for sure.
+
+    It is the distance of the k-th in the point's own cell; where the cell holds too few, that to the far corner of
+    the nearest ancestor that holds enough.
+    """
+    reach = local.groupBy(*key, "pid").agg(F.when(F.sum("qw") >= k, F.max("d")).alias("r"))
+    placed = link(points, reach, (*key, "pid")).withColumn("x", F.array(*dims))
+    placed = attach(placed, roomy_ancestors(points, depth, key, dims, k), (*key, "cell"))
+    away = F.zip_with(
+        F.zip_with("x", "a_lo", lambda a, b: a - b), F.zip_with("a_hi", "x", lambda a, b: a - b), lambda a, b: F.greatest(a, b)
+    )
+    # a trifle more than the corner, so that rounding leaves out no point that lies there
+    far = F.sqrt(F.aggregate(away, F.lit(0.0), lambda s, g: s + g * g)) * (1 + 1e-12)
+    return placed.withColumn("r", F.coalesce("r", far, F.lit(float("inf")))).drop("a_lo", "a_hi")
+
+
 def neighbours(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence[str], k: int) -> DataFrame:
     """Edges (pid, qid, d, qw) to every neighbour within the k-th distance, ties included."""
     key, dims = list(key), list(dims)
@@ -163,13 +199,7 @@ def neighbours(points: DataFrame, depth: int, key: Sequence[str], dims: Sequence
 
     local = spread(points, *key, "cell").groupBy(*key, "cell").applyInPandas(inside, schema)
     local = cut(local)
-    # a point whose cell holds fewer than k others has no bound yet
-    reach = local.groupBy(*key, "pid").agg(
-        F.when(F.sum("qw") >= k, F.max("d")).otherwise(F.lit(float("inf"))).alias("r")
-    )
-    at = F.array(*dims)
-    placed = link(points, reach, (*key, "pid")).withColumn("r", F.coalesce("r", F.lit(float("inf"))))
-    placed = cut(placed.withColumn("x", at))
+    placed = cut(first_reach(points, local, depth, key, dims, k))
     low = F.array(*[F.min(d) for d in dims])
     high = F.array(*[F.max(d) for d in dims])
     todo = placed.groupBy(*key, "cell").agg(low.alias("lo"), high.alias("hi"), F.max("r").alias("r"))
