@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from obsframe.binding import Binding
 from obsframe.functions.scalar import missing
 from obsframe.operators.ordering import average_rank, quantiles
-from obsframe.session import attach, cut
+from obsframe.session import attach, cut, link
 
 
 def record_count(df: DataFrame) -> DataFrame:
@@ -208,11 +208,16 @@ def find_extremes(df: DataFrame, b: Binding, columns: Sequence[str]) -> DataFram
 
 
 def dataset_summary(df: DataFrame, b: Binding) -> DataFrame:
+    first, *rest = dataset_aggs(b)
+    return df.agg(first, F.countDistinct(*b.key).alias("keys"), *rest)
+
+
+def dataset_aggs(b: Binding) -> list[Column]:
+    """What is told of a whole dataset, but for the number of its keys."""
     v, t = b.value, b.ts
     micros = F.unix_micros(F.max(F.col(t)).cast("timestamp")) - F.unix_micros(F.min(F.col(t)).cast("timestamp"))
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("total_records"),
-        F.countDistinct(*b.key).alias("keys"),
         F.min(t).alias("start_ts"),
         F.max(t).alias("end_ts"),
         F.floor(micros / 86_400_000_000).cast("long").alias("duration_days"),
@@ -221,15 +226,19 @@ def dataset_summary(df: DataFrame, b: Binding) -> DataFrame:
         F.min(v).cast("double").alias("overall_min"),
         F.max(v).cast("double").alias("overall_max"),
         (F.max(v) - F.min(v)).cast("double").alias("value_range"),
-    )
+    ]
 
 
 def key_rankings(df: DataFrame, b: Binding) -> DataFrame:
     """Keys with the highest and lowest mean of the target and the highest mean of the second variable."""
-    k = b.key[0]
-    first = F.avg(b.values[0]).alias("__m0")
-    second = F.avg(b.values[1]).alias("__m1")
-    means = df.groupBy(*b.key).agg(first, second)
+    return ranked_means(df.groupBy(*b.key).agg(*ranking_aggs(b)), b.key[0])
+
+
+def ranking_aggs(b: Binding) -> list[Column]:
+    return [F.avg(b.values[0]).alias("__m0"), F.avg(b.values[1]).alias("__m1")]
+
+
+def ranked_means(means: DataFrame, k: str) -> DataFrame:
     up0, up1 = F.struct((-F.col("__m0")).alias("m"), k), F.struct((-F.col("__m1")).alias("m"), k)
     return means.agg(
         F.min_by(k, up0).alias("highest_key"),
@@ -243,21 +252,28 @@ def key_rankings(df: DataFrame, b: Binding) -> DataFrame:
 
 def data_quality(df: DataFrame) -> DataFrame:
     """Null count per column and the completeness of the frame, in one pass."""
+    return quality_rows(df.agg(*quality_aggs(df)), df.columns)
+
+
+def quality_aggs(df: DataFrame) -> list[Column]:
     floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    aggs = [
-        F.count_if(missing(c) if c in floats else F.col(c).isNull()).alias(f"{c}__nulls") for c in df.columns
-    ]
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    total = reduce(lambda x, y: x + y, [F.col(f"{c}__nulls") for c in df.columns])
-    wide = wide.withColumn("__total", total).withColumn(
-        "completeness_pct", F.try_divide(100.0 * (F.col("__rows") * len(df.columns) - F.col("__total")), F.col("__rows") * len(df.columns))
-    )
-    return tall(wide, ("completeness_pct",), df.columns, ("nulls",), "column_name").withColumnRenamed("nulls", "null_count")
+    nulls = [F.count_if(missing(c) if c in floats else F.col(c).isNull()).alias(f"{c}__nulls") for c in df.columns]
+    return [F.count(F.lit(1)).alias("__rows"), *nulls]
+
+
+def quality_rows(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    cells = F.col("__rows") * len(columns)
+    nulls = reduce(lambda x, y: x + y, [F.col(f"{c}__nulls") for c in columns])
+    wide = wide.withColumn("completeness_pct", F.try_divide(100.0 * (cells - nulls), cells))
+    return tall(wide, ("completeness_pct",), columns, ("nulls",), "column_name").withColumnRenamed("nulls", "null_count")
 
 
 def summary_report(df: DataFrame, b: Binding, columns: Sequence[str], threshold: float = 0.6) -> DataFrame:
-    """The report as rows (section, metric, value as text)."""
-    from obsframe.operators.correlate import strong_correlations
+    """The report as rows (section, metric, value as text).
+
+    One scan: every section is read off one aggregate with a row per key and one for the whole.
+    """
+    from obsframe.operators.correlate import pair_aggs, pair_rows, strongest
 
     def text(frame: DataFrame, section: str) -> DataFrame:
         cells = [
@@ -271,11 +287,20 @@ def summary_report(df: DataFrame, b: Binding, columns: Sequence[str], threshold:
             "section", "e.metric", "e.value"
         )
 
-    quality = data_quality(df.select(*columns))
-    strong = strong_correlations(df, b, threshold=threshold)
+    asked = [*dataset_aggs(b), *quality_aggs(df.select(*columns)), *pair_aggs(b.values), *ranking_aggs(b)]
+    wide = cut(df.groupingSets([list(b.key), []], *b.key).agg(F.grouping_id().alias("__level"), *asked))
+    by_key = wide.where("__level = 0")
+    named = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in b.key])
+    # an empty table has no row for the whole: its counts are zero, the rest is null
+    whole = link(df.sparkSession.range(1).select(), wide.where("__level > 0").drop(*b.key), ())
+    whole = link(whole, by_key.agg(F.count_if(named).alias("keys")), ())
+    whole = cut(whole.fillna(0, [c for c, t in whole.dtypes if t == "bigint"]))
+    told = [f.name for f in df.limit(0).agg(*dataset_aggs(b)).schema.fields]
+    quality = quality_rows(whole, columns)
+    strong = strongest(pair_rows(whole, (), b.values), threshold)
     parts = [
-        text(dataset_summary(df, b), "dataset"),
-        text(key_rankings(df, b), "rankings"),
+        text(whole.select(told[0], "keys", *told[1:]), "dataset"),
+        text(ranked_means(by_key, b.key[0]), "rankings"),
         quality.select(
             F.lit("missing_values").alias("section"),
             F.col("column_name").alias("metric"),

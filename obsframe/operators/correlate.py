@@ -8,7 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsframe.binding import Binding
@@ -22,16 +22,24 @@ from obsframe.session import attach, cut, group_rows, link
 def pearson(df: DataFrame, b: Binding, key: Sequence[str] | None = None) -> DataFrame:
     """All pairs in one aggregate; a pair uses the rows where both are present."""
     key = b.key if key is None else key
-    pairs = list(combinations(b.values, 2))
+    return pair_rows(df.groupBy(*key).agg(*pair_aggs(b.values)), key, b.values)
+
+
+def pair_aggs(values: Sequence[str]) -> list[Column]:
+    """Pearson's r and the rows it rests on, for every pair of columns."""
     aggs = []
-    for x, y in pairs:
+    for x, y in combinations(values, 2):
         both = F.col(x).isNotNull() & F.col(y).isNotNull()
         aggs += [
             F.count_if(both).alias(f"{x}~{y}__n"),
             F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x}~{y}__r"),
         ]
-    labels = [f"{x}~{y}" for x, y in pairs]
-    out = tall(df.groupBy(*key).agg(*aggs), key, labels, ("r", "n"), "pair")
+    return aggs
+
+
+def pair_rows(wide: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
+    labels = [f"{x}~{y}" for x, y in combinations(values, 2)]
+    out = tall(wide, key, labels, ("r", "n"), "pair")
     names = F.split("pair", "~")
     # a constant column has no correlation
     r = F.when(~F.isnan("r"), F.col("r"))
@@ -198,6 +206,10 @@ def strong_correlations(
 ) -> DataFrame:
     """Pairs whose correlation, rounded to three places, reaches the threshold; strongest first."""
     pairs = kendall(df, b, key, scores=True) if method == "kendall" else METHODS[method](df, b, key)
+    return strongest(pairs, threshold, method)
+
+
+def strongest(pairs: DataFrame, threshold: float, method: str = "pearson") -> DataFrame:
     kept = pairs.where(F.abs(F.round("r", 3)) >= threshold)
     out = with_p_value(kept, method)
     return out.select(
