@@ -19,6 +19,7 @@ from obsframe.functions import scalar as S
 from obsframe.operators import evaluate as E
 from obsframe.operators import filters
 from obsframe.operators import windows as X
+from obsframe.operators.leafwise import LeafwiseBooster, LeafwiseModel
 from obsframe.operators.least_squares import dot, fields, gram, ols, solve_rows, square
 from obsframe.operators.ordering import largest_group, numbered, over_order, same_rows
 from obsframe.operators.resample import future_grid, spacing, validate_series
@@ -404,6 +405,9 @@ class Trees:
 
     @classmethod
     def of(cls, model) -> Trees:
+        if isinstance(model, LeafwiseModel):
+            nodes = model.nodes()
+            return cls(nodes, [1.0] * len(nodes))
         trees: list[list[tuple]] = []
         for line in model.toDebugString.splitlines()[1:]:
             words = line.split()
@@ -448,11 +452,9 @@ def boosted(rounds: int = 100, depth: int = 6, rate: float = 0.1) -> TreeModel:
     return TreeModel("boosted", lambda: GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=42))
 
 
-def boosted_wide(rounds: int = 100, depth: int = 5, rate: float = 0.1) -> TreeModel:
-    """The leaf-rich preset: finer histograms in place of unlimited depth."""
-    return TreeModel(
-        "boosted_wide", lambda: GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, maxBins=255, seed=42)
-    )
+def boosted_wide(rounds: int = 100, leaves: int = 31, rate: float = 0.1) -> TreeModel:
+    """The preset of unlimited depth: trees grown leaf by leaf up to a number of leaves."""
+    return TreeModel("boosted_wide", lambda: LeafwiseBooster(rounds, leaves, rate))
 
 
 def forest(trees: int = 100, depth: int = 10) -> TreeModel:
