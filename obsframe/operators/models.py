@@ -502,6 +502,31 @@ def evaluate(models: Sequence[ForecastModel], series: DataFrame, b: Binding, fra
     return E.metrics(pairs, (*b.key, "model"))
 
 
+def side_by_side(predictions: DataFrame, names: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """A column of forecasts per model."""
+    picks = [F.max(F.when(F.col("model") == n, F.col("forecast"))).alias(n) for n in names]
+    return predictions.groupBy(*key, "step", "ts").agg(*picks)
+
+
+def together(members: DataFrame, key: Sequence[str], name: str, every: bool) -> DataFrame:
+    """A row per key from the rows of the members: how the whole serves it and who does not.
+
+    ``ok`` or ``warning`` where all members serve the key. Where some do not: ``insufficient`` if
+    ``every`` member is needed, else ``partial`` (the others carry the weight), unless none is left.
+    """
+    lacking = F.col("status") == "insufficient"
+    rows = members.groupBy(*key).agg(
+        F.max("n").alias("n"),
+        F.max("missing_pct").alias("missing_pct"),
+        F.bool_or(~lacking).alias("some"),
+        F.bool_or(F.col("status") == "warning").alias("warned"),
+        F.array_sort(F.collect_list(F.when(lacking, F.col("model")))).alias("missing"),
+    )
+    short = F.lit("insufficient") if every else F.when(F.col("some"), "partial").otherwise("insufficient")
+    status = F.when(F.size("missing") > 0, short).when(F.col("warned"), "warning").otherwise("ok")
+    return rows.select(*key, F.lit(name).alias("model"), "n", "missing_pct", status.alias("status"), "missing")
+
+
 class WeightedEnsemble:
     """Weighted mean of its members; weights equal, given, or from their accuracy."""
 
@@ -519,6 +544,10 @@ class WeightedEnsemble:
         """A row per key and member."""
         return reduce(DataFrame.unionByName, [m.status() for m in self.models])
 
+    def own_status(self) -> DataFrame:
+        """A row per key: a key that some members cannot serve is forecast by the others."""
+        return together(self.status(), self.b.key, self.name, every=False)
+
     def fit(self, series: DataFrame, b: Binding) -> WeightedEnsemble:
         self.b = b
         self.train = series = series.select(*b.key, *b.order, b.value)
@@ -558,6 +587,25 @@ class DynamicEnsemble(WeightedEnsemble):
         self.fit(series, self.b)
         return True
 
+    def follow(self, series: DataFrame, b: Binding, fraction: float = 0.8) -> DataFrame:
+        """Forecast the held-out part of each key with weights renewed on the way.
+
+        The members are fitted once, on the first part. Every ``every`` steps the weights follow
+        the members' errors over the newest ``window`` steps whose actual values are then known;
+        up to the first renewal all weigh the same. Returns (key, step, ts, actual, forecast, a
+        weight per member). Steps without an actual value are left out, as are keys that a member
+        cannot serve (see ``own_status``).
+        """
+        self.b = b
+        self.train = series = series.select(*b.key, *b.order, b.value)
+        train, test, steps = holdout(series, b, fraction)
+        fitted(self.models, train, b)
+        names = [m.name for m in self.models]
+        wide = side_by_side(all_predictions(self.models, steps), names, b.key)
+        rows = cut(link(wide, test, (*b.key, "step"), "inner"))
+        mixed = E.dynamic(rows, Binding(b.key, "step", ("actual",)), "actual", names, self.window, self.every)
+        return mixed.select(*b.key, "step", "ts", "actual", "forecast", *[f"weight_{n}" for n in names])
+
 
 class StackingEnsemble:
     """A second model learns how to combine its members' forecasts of the held-out rows."""
@@ -571,10 +619,12 @@ class StackingEnsemble:
         """A row per key and member."""
         return reduce(DataFrame.unionByName, [m.status() for m in self.models])
 
+    def own_status(self) -> DataFrame:
+        """A row per key: the second model needs the forecasts of every member."""
+        return together(self.status(), self.b.key, self.name, every=True)
+
     def wide(self, predictions: DataFrame) -> DataFrame:
-        names = [m.name for m in self.models]
-        picks = [F.max(F.when(F.col("model") == n, F.col("forecast"))).alias(n) for n in names]
-        return predictions.groupBy(*self.b.key, "step", "ts").agg(*picks)
+        return side_by_side(predictions, [m.name for m in self.models], self.b.key)
 
     def fit(self, series: DataFrame, b: Binding) -> StackingEnsemble:
         self.b = b

@@ -123,3 +123,22 @@ def ensemble_performance(spark, sf_dir):
 @query("ensemble_dynamic_models")
 def ensemble_dynamic_models(spark, sf_dir):
     return M.default_ensemble("dynamic", ROUNDS, TREES).fit(series(spark, sf_dir), GRID).predict(24)
+
+
+@query("ensemble_dynamic_renewal")
+def ensemble_dynamic_renewal(spark, sf_dir):
+    """Five members over the held-out part, their weights renewed every six hours."""
+    return M.default_ensemble("dynamic", ROUNDS, TREES).follow(series(spark, sf_dir), GRID)
+
+
+@query(
+    "ensemble_status",
+    """WITH e AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)
+    SELECT user_id, 'weighted' AS model, n, 0.0::DOUBLE AS missing_pct,
+    CASE WHEN n >= 14 THEN 'ok' ELSE 'partial' END AS status, CASE WHEN n >= 14 THEN '' ELSE 'arima' END AS missing FROM e""",
+)
+def ensemble_status(spark, sf_dir):
+    """Keys too short for one member are served by the other."""
+    members = [M.SeasonalModel(), M.ArimaModel(order=(1, 1, 1))]
+    out = M.WeightedEnsemble(members).fit(table(spark, sf_dir, "events"), USERS).own_status()
+    return out.withColumn("missing", F.array_join("missing", ","))
