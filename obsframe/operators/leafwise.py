@@ -66,10 +66,11 @@ class LeafwiseBooster:
     takes about as many passes as it has levels and is the one that splitting leaf by leaf
     gives. Of two siblings the smaller is counted, the other is its parent less it.
 
-    Cuts lie at quantiles, read off mergeable summaries of all rows.
+    Cuts lie at quantiles, read off mergeable summaries of all rows; beyond some thousands of
+    rows they are close, not exact, and may differ with how rows are dealt to tasks.
 
     Residuals are whole units: sums are exact, so neither the order of tasks nor a repeated
-    task changes a tree. Squared error never grows, so no sum passes the number of rows times
+    task changes a tree once the cuts are drawn. Squared error never grows, so no sum passes the number of rows times
     the largest first residual, and the unit is chosen for that.
 
     Histograms are bounded by leaves, features and bins, not by rows. Rows without a label are
