@@ -11,17 +11,24 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsframe.session import bounded, cut, group_rows, link, spread
+
 GROUPS = 64  # groups that a key's partial sums are added in before the last step
 HELD = 4096  # keys whose sums a task holds before it sends them
+SENT = 256  # sums sent together
+MOVED_ROWS = 50_000  # most rows of a key that are brought together; the sums of a larger one are fewer than its rows
+SUMS = "s array<double>, n bigint"
 
 
 def fields(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names]
 
 
-def gram(df: DataFrame, key: Sequence[str], vector: Column) -> DataFrame:
-    """Sum of v vᵀ per key as a flat array ``g``, for the vector expression v of each row."""
-    return summed(df, key, vector, lambda x: (x.T @ x).ravel()).drop("n").withColumnRenamed("s", "g")
+def gram(df: DataFrame, key: Sequence[str], vector: Column, carry: Sequence[str] = ()) -> DataFrame:
+    """Sum of v vᵀ per key as a flat array ``g``, for the vector expression v of each row; with ``carry``, columns
+    that are the same in all rows of a key, and the number ``n`` of rows."""
+    sums = summed(df, key, vector, lambda x: (x.T @ x).ravel(), carry).withColumnRenamed("s", "g")
+    return sums if carry else sums.drop("n")
 
 
 def vector_sum(df: DataFrame, key: Sequence[str], vector: Column) -> DataFrame:
@@ -29,46 +36,91 @@ def vector_sum(df: DataFrame, key: Sequence[str], vector: Column) -> DataFrame:
     return summed(df, key, vector, lambda x: x.sum(axis=0))
 
 
-def summed(df: DataFrame, key: Sequence[str], vector: Column, part: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+def summed(
+    df: DataFrame, key: Sequence[str], vector: Column, part: Callable[[np.ndarray], np.ndarray], carry: Sequence[str] = ()
+) -> DataFrame:
     """Add up ``part(matrix of rows)`` per key.
 
-    Every task adds up its own rows; only its sums are shuffled, and added in two
-    steps, so that a key in all tasks meets no more than its share of them at once.
+    A sum may be far larger than a row. Rows of keys up to ``MOVED_ROWS`` are therefore brought together before
+    their vectors are worked out, and no sum is shuffled. Of larger keys every task adds up its own rows; only its
+    sums are shuffled, and added in two steps, so that a key in all tasks meets no more than its share of them at once.
     """
-    key = list(key)
-    rows = df.select(*key, vector.alias("__v"))
+    key, carry = list(key), list(carry)
+    if not key or any(df.schema[k].dataType.typeName() in ("float", "double") for k in key):
+        # keys that Spark and Python compare in different ways (NaN, -0.0) are left to Spark
+        return spread_sums(df, key, vector, part, carry)
+    large = min(MOVED_ROWS, group_rows(df.sparkSession))
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"))
+    ends = sizes.agg(F.min("__rows"), F.max("__rows")).first()
+    if (ends[1] or 0) <= large:
+        return moved_sums(df, key, vector, part, carry)
+    if ends[0] > large:
+        return spread_sums(df, key, vector, part, carry)
+    few = cut(sizes.where(F.col("__rows") > large).select(*key, F.lit(True).alias("__large")))
+    marked = link(df, bounded(few), tuple(key))
+    most = marked.where(F.col("__large").isNull()).drop("__large")
+    rest = marked.where(F.col("__large").isNotNull()).drop("__large")
+    return moved_sums(most, key, vector, part, carry).unionByName(spread_sums(rest, key, vector, part, carry))
+
+
+def moved_sums(df: DataFrame, key: list[str], vector: Column, part: Callable, carry: list[str]) -> DataFrame:
+    """The sums of keys whose rows meet in one task, a key after the other."""
+    rows = spread(df, *key).sortWithinPartitions(*key).select(*key, *carry, vector.alias("__v"))
+    return rows.mapInArrow(task_sums(part, key, carry, whole=True), ", ".join([*fields(rows, [*key, *carry]), SUMS]))
+
+
+def spread_sums(df: DataFrame, key: list[str], vector: Column, part: Callable, carry: list[str]) -> DataFrame:
+    """The sums of keys whose rows stay where they are."""
+    rows = df.select(*key, *carry, vector.alias("__v"))
+    shape = ", ".join(["__group int", SUMS])
+    sums = rows.mapInArrow(task_sums(part, key, carry, whole=False), ", ".join([*fields(rows, [*key, *carry]), shape]))
+    for by in ([*key, "__group"], key):
+        sums = sums.groupBy(*by).applyInPandas(adder((*by, *carry)), ", ".join([*fields(sums, [*by, *carry]), SUMS]))
+    return sums
+
+
+def task_sums(part: Callable, key: list[str], carry: list[str], whole: bool):
+    """Function for mapInArrow: the sums of a task's rows. With ``whole`` the rows come sorted by key, and a key's sum
+    is sent once it is complete; else sums are sent when many keys are held, marked with a group."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = TaskContext.get().partitionId() % GROUPS
         sums: dict[tuple, list] = {}
 
-        def sent() -> pa.RecordBatch:
-            names = [*key, "__group", "s", "n"]
-            columns = [pa.array([k[i] for k in sums], kinds[i]) for i in range(len(key))]
-            columns += [pa.array([group] * len(sums), pa.int32()), pa.array([s for s, _ in sums.values()], pa.list_(pa.float64()))]
-            return pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in sums.values()], pa.int64())], names)
-
-        kinds: list[pa.DataType] = []
+        def sent(keys: list[tuple]) -> pa.RecordBatch:
+            taken = [sums.pop(k) for k in keys]
+            columns = {c: pa.array([k[i] for k in keys], kinds[c]) for i, c in enumerate(key)}
+            columns |= {c: pa.array([t[2][i] for t in taken], kinds[c]) for i, c in enumerate(carry)}
+            if not whole:
+                columns["__group"] = pa.array([group] * len(keys), pa.int32())
+            columns["s"] = pa.array([t[0] for t in taken], pa.list_(pa.float64()))
+            columns["n"] = pa.array([t[1] for t in taken], pa.int64())
+            return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+        kinds: dict[str, pa.DataType] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            kinds = [batch.schema.field(c).type for c in key]
+            kinds = {c: batch.schema.field(c).type for c in [*key, *carry]}
             values = batch.column("__v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            for keys, x in by_key(batch, key, values):
-                held = sums.setdefault(keys, [0.0, 0])
-                held[0] = held[0] + part(x)
-                held[1] += len(x)
-            if len(sums) >= HELD:
-                yield sent()
-                sums.clear()
-        if sums:
-            yield sent()
-
-    shape = "s array<double>, n bigint"
-    sums = rows.mapInArrow(partial, ", ".join([*fields(rows, key), "__group int", shape]))
-    for by in ([*key, "__group"], key):
-        sums = sums.groupBy(*by).applyInPandas(adder(tuple(by)), ", ".join([*fields(sums, by), shape]))
-    return sums
+            for keys, at in by_key(batch, key, np.arange(batch.num_rows)):
+                if keys not in sums:
+                    sums[keys] = [0.0, 0, [batch.column(c)[int(at[0])].as_py() for c in carry]]
+                held = sums[keys]
+                held[0] = held[0] + part(values[at])
+                held[1] += len(at)
+            if whole:
+                last = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in key)
+                done = [k for k in sums if k != last]
+            else:
+                done = list(sums) if len(sums) >= HELD else []
+            for i in range(0, len(done), SENT):
+                yield sent(done[i : i + SENT])
+        done = list(sums)
+        for i in range(0, len(done), SENT):
+            yield sent(done[i : i + SENT])
+
+    return partial
 
 
 def by_key(batch: pa.RecordBatch, key: Sequence[str], values: np.ndarray) -> Iterator[tuple[tuple, np.ndarray]]:

@@ -112,13 +112,12 @@ class SeasonalModel:
         ts, v = b.ts, b.value
         known = series.where(F.col(v).isNotNull()).select(*b.key, ts, F.col(v).cast("double").alias(v))
         span = known.groupBy(*b.key).agg(
-            F.min(S.epoch_seconds(ts)).alias("t0"), F.max(S.epoch_seconds(ts)).alias("t1"), F.count(v).alias("n")
+            F.min(S.epoch_seconds(ts)).alias("t0"), F.max(S.epoch_seconds(ts)).alias("t1")
         )
-        span = cut(span)
-        rows = attach(known, span.drop("n"), b.key)
+        rows = attach(known, span, b.key)
         hinges = [1e-6, 1e-6, *[self.penalty] * len(self.knots)]
         waves = [1e-6] * (2 * sum(order for _, order in self.seasons))
-        added = self.solved(rows, span, [*self.line(ts), *self.waves(ts)], hinges + waves, F.col(v))
+        added = self.solved(rows, [*self.line(ts), *self.waves(ts)], hinges + waves, F.col(v))
         if self.mode == "additive":
             self.coefficients = added
             return self
@@ -127,13 +126,13 @@ class SeasonalModel:
         rows = attach(rows, trend, b.key)
         rows = rows.withColumn("__g", dot("trend", F.array(*self.line(ts))))
         shares = [F.col("__g") * w for w in self.waves(ts)]
-        season = self.solved(rows, span, shares, waves, F.col(v) - F.col("__g"))
+        season = self.solved(rows, shares, waves, F.col(v) - F.col("__g"))
         self.coefficients = cut(link(season, trend, b.key, "inner"))
         return self
 
-    def solved(self, rows: DataFrame, span: DataFrame, design: list[Column], ridge: list[float], y: Column) -> DataFrame:
+    def solved(self, rows: DataFrame, design: list[Column], ridge: list[float], y: Column) -> DataFrame:
         """Coefficients and residual spread of y on the design, per key."""
-        sums = gram(rows, self.b.key, F.array(*design, y))
+        sums = gram(rows, self.b.key, F.array(*design, y), carry=("t0", "t1"))
 
         def solve(r: dict):
             g = square(r["g"])
@@ -142,7 +141,7 @@ class SeasonalModel:
             yield {"beta": beta, "sigma": math.sqrt(ssr / r["n"])}
 
         keep = [*self.b.key, "t0", "t1"]
-        return cut(solve_rows(link(span, sums, self.b.key, "inner"), keep, solve, "beta array<double>, sigma double"))
+        return cut(solve_rows(sums, keep, solve, "beta array<double>, sigma double"))
 
     def predict(self, steps: int = 24, level: float = 0.95) -> DataFrame:
         b = self.b
