@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsframe.llm.common import fits, stored, table, text_of
+from obsframe.llm.words import together
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, NEGATED, QUOTED, AIMED, MENACE = range(10)
 
@@ -57,6 +58,8 @@ TELLING = 6.6
 #: Most labelled rows that the logistic model is fitted on.
 FIT_ROWS = 200_000
 FEATURES = ("best", "total", "share", "distinct")
+#: Bytes of text whose words are looked at together; a word's place takes some ten times its bytes.
+TOGETHER = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -210,6 +213,12 @@ def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     return out
 
 
+def features_in_parts(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
+    """As :func:`features`, with about ``TOGETHER`` bytes of text in memory as words."""
+    parts = together(pa.record_batch([texts], ["text"]), size=TOGETHER)
+    return np.concatenate([np.zeros((0, len(FEATURES))), *[features(some.column("text"), lexicon) for some in parts]])
+
+
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text, toxic of the rows that may be learned from: labelled, crc32(doc_id as text) mod 5 not 0."""
     marks = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -288,8 +297,9 @@ def with_features(docs: DataFrame, entries: DataFrame, name: str) -> DataFrame:
 
         @F.arrow_udf(T.ArrayType(T.DoubleType()))
         def read(texts: pa.Array) -> pa.Array:
-            x = [features(texts.slice(begin, 2048), shared.value) for begin in range(0, len(texts), 2048)]
-            return pa.array(list(np.concatenate([np.zeros((0, len(FEATURES))), *x])), pa.list_(pa.float64()))
+            x = features_in_parts(texts, shared.value)
+            pa.default_memory_pool().release_unused()  # the worker lives on
+            return pa.array(list(x), pa.list_(pa.float64()))
 
         return docs.withColumn(name, read(text))
 

@@ -45,13 +45,13 @@ def word_lists(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return flat.filter(present).dictionary_encode(), before[lists.offsets.to_numpy()]
 
 
-def together(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``TOGETHER`` bytes of text each."""
+def together(batch: pa.RecordBatch, column: str = "text", size: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each."""
     stops = np.cumsum(pc.binary_length(batch.column(column)).to_numpy())
     begin = 0
     while begin < batch.num_rows:
         before = stops[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(stops, before + TOGETHER, side="right")))
+        end = max(begin + 1, int(np.searchsorted(stops, before + size, side="right")))
         yield batch.slice(begin, end - begin)
         begin = end
 

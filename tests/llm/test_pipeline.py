@@ -83,3 +83,14 @@ def test_near_copies_of_a_crowd(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = dict(slow_components([(d, slow_fingerprint(t)) for d, t in rows]))
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, crowd=4).collect()} == want
+
+
+def test_texts_go_to_python_in_light_batches(spark):
+    docs = spark.createDataFrame([(i, "some words " * 100_000) for i in range(40)], "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(pipeline.BATCH_CONF)
+    try:
+        pipeline.lighter_batches(spark)
+        size = docs.mapInArrow(lambda batches: (b.slice(0, 1).set_column(1, "n", [b.column("text").nbytes]) for b in batches), "doc_id long, n long")
+        assert size.agg({"n": "max"}).first()[0] < 20 << 20
+    finally:
+        spark.conf.set(pipeline.BATCH_CONF, before)

@@ -172,3 +172,17 @@ def test_odd_tables(spark):
     assert len(got) == 4 and {r.predicted for r in got if r.doc_id is None} == {1}
     assert {r.predicted for r in got if r.doc_id is not None} == {0}
     assert t.score_toxicity(df.limit(0), labels.limit(0)).collect() == []
+
+
+def test_words_of_few_texts_at_a_time(monkeypatch):
+    texts = pa.array([f"you {'idiot' if i % 7 == 0 else 'friend'}. " + "plain words here. " * 100 for i in range(3000)] + [""])
+    whole, plain, sizes = t.features(texts, LEXICON), t.features, []
+
+    def seen(some, lexicon):
+        sizes.append(sum(len(x) for x in some.to_pylist()))
+        return plain(some, lexicon)
+
+    monkeypatch.setattr(t, "features", seen)
+    assert (t.features_in_parts(texts, LEXICON) == whole).all() and whole.any()
+    assert max(sizes) <= t.TOGETHER and sum(sizes) > 2 * t.TOGETHER
+    assert t.features_in_parts(pa.array([], pa.string()), LEXICON).shape == (0, len(t.FEATURES))
