@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -33,6 +34,10 @@ from obsframe.llm.words import together
 REMEMBERED = 300_000
 #: Stretches sent to the libraries together: what those return takes far more room than the ids.
 TOGETHER = 8_192
+#: Bytes of text aligned together: numbers of its stretches and links take many times as much.
+TEXT_TOGETHER = 1 << 20
+#: Links of a block whose bitmaps are made together.
+LINKS_TOGETHER = 1 << 19
 #: Longer stretches are aligned anew each time.
 LONG = 200
 #: A block of documents is closed once it has this many links or documents.
@@ -211,8 +216,7 @@ class Aligner:
         number = np.fromiter((own[s] if len(s) > LONG else self.numbers[s] for s in listed), np.int64, len(listed))
         which = number[coded.indices.to_numpy()]
         n, per_text = len(offsets) - 1, np.diff(offsets)
-        ends = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(held.sizes[which], axis=0)))[offsets]
-        sums = np.diff(ends, axis=0)
+        sums = np.stack([np.diff(_stops(column[which])[offsets]) for column in held.sizes.T], axis=1)
         # a text that is empty, or that one stretch does not give back, has no tokens
         good = (sums[:, 4] == per_text) & (pc.binary_length(texts).to_numpy() > 1)
         which = which[np.repeat(good, per_text)]
@@ -272,29 +276,43 @@ _MAP = ["pair", "plane", "n_docs", "docs"]
 
 
 class Block:
-    """Links of the documents of one block."""
+    """Links of the documents of one block, each as one number: pair of ids (B's below ``ids_b``), place."""
 
-    def __init__(self, number: int):
-        self.number, self.docs, self.links = number, 0, 0
+    def __init__(self, number: int, ids_b: int):
+        self.number, self.ids_b, self.docs, self.links = number, ids_b, 0, 0
         self.parts: list[np.ndarray] = []
-        self.places: list[np.ndarray] = []
 
     def add(self, pairs: np.ndarray, text: np.ndarray, docs: int) -> None:
-        self.parts.append(pairs)
-        self.places.append((text + self.docs).astype(np.int32))
+        keys = (pairs >> 32) * self.ids_b
+        keys += pairs & 0xFFFFFFFF
+        keys *= BLOCK_DOCS
+        keys += text + self.docs
+        self.parts.append(keys)
         self.docs += docs
         self.links += len(pairs)
 
-    def bitmaps(self) -> dict[str, pa.Array]:
-        pairs, code = np.unique(np.concatenate(self.parts), return_inverse=True)
-        keys, times = np.unique(code * BLOCK_DOCS + np.concatenate(self.places), return_counts=True)
+    def bitmaps(self) -> Iterator[dict[str, pa.Array]]:
+        """Bitmaps of ascending pairs, those of about ``LINKS_TOGETHER`` links at a time; takes the links out."""
+        keys = np.concatenate(self.parts)
+        self.parts.clear()
+        keys.sort()
+        begin = 0
+        while begin < len(keys):
+            last = keys[min(begin + LINKS_TOGETHER, len(keys)) - 1] // BLOCK_DOCS
+            end = begin + int(np.searchsorted(keys[begin:], (last + 1) * BLOCK_DOCS))
+            yield self._bitmaps(keys[begin:end])
+            begin = end
+
+    def _bitmaps(self, links: np.ndarray) -> dict[str, pa.Array]:
+        first = np.flatnonzero(np.diff(links, prepend=-1))
+        keys, times = links[first], np.diff(first, append=len(links))
         planes = [(0, keys)]
         for bit in range(int(times.max(initial=1) - 1).bit_length()):
             planes.append((bit + 1, keys[(times - 1) >> bit & 1 == 1]))
         out: dict[str, list] = {name: [] for name in _MAP}
         for plane, some in planes:
             which, counts = np.unique(some // BLOCK_DOCS, return_counts=True)
-            out["pair"].append(pairs[which])
+            out["pair"].append(which // self.ids_b << 32 | which % self.ids_b)
             out["plane"].append(np.full(len(which), plane))
             out["n_docs"].append(counts)
             out["docs"].append(_packed(some % BLOCK_DOCS, counts, self.docs))
@@ -312,7 +330,8 @@ def index(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFra
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
-        block, seen = Block(part << 32), []
+        ids_b = len(aligner(paths).side_b.length)
+        block, seen = Block(part << 32, ids_b), []
 
         def rows(arrays: dict, n: int, is_map: bool):
             """A batch with all columns; those of the other kind are null."""
@@ -323,12 +342,12 @@ def index(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFra
             nonlocal seq, block
             held = [pa.concat_arrays([s[i] for s in seen]) for i in range(len(_DOC))]
             yield rows(dict(zip(_DOC, held)), block.docs, False)
-            maps = block.bitmaps()
-            for begin in range(0, len(maps["pair"]), 1 << 16):
-                some = {k: v.slice(begin, 1 << 16) for k, v in maps.items()}
-                yield rows(some, len(some["pair"]), True)
+            for maps in block.bitmaps():
+                for begin in range(0, len(maps["pair"]), 1 << 16):
+                    some = {k: v.slice(begin, 1 << 16) for k, v in maps.items()}
+                    yield rows(some, len(some["pair"]), True)
             seq += 1
-            block = Block(part << 32 | seq)
+            block = Block(part << 32 | seq, ids_b)
             seen.clear()
 
         kinds = None
@@ -336,7 +355,7 @@ def index(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFra
             if kinds is None:
                 arrow = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}
                 kinds = pa.schema([("doc_id", batch.schema.field("doc_id").type), *[(f.name, arrow[f.dataType]) for f in shape[1:]]])
-            for some in together(batch):
+            for some in together(batch, size=TEXT_TOGETHER):
                 for begin in range(0, some.num_rows, BLOCK_DOCS // 2):
                     few = some.slice(begin, BLOCK_DOCS // 2)
                     if block.docs + few.num_rows > BLOCK_DOCS:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -113,3 +114,36 @@ def test_bitmaps(size):
         values, owner = al._unpacked(maps.slice(begin), counts[begin:], size)
         for i, s in enumerate(sets[begin:]):
             assert sorted(values[owner == i].tolist()) == s.tolist()
+
+
+def test_bitmaps_a_part_at_a_time(monkeypatch):
+    """The links of a block come back whole from parts cut between pairs, in little memory besides."""
+    rng = np.random.default_rng(3)
+    a, b, text = rng.integers(0, 300, 400_000), rng.zipf(1.3, 400_000) % 1_000, np.sort(rng.integers(0, 2_000, 400_000))
+    want = Counter(zip((a << 32 | b).tolist(), text.tolist()))
+
+    def made():
+        block = al.Block(0, 1_000)
+        block.add((a << 32 | b)[:150_000], text[:150_000], 0)
+        block.add((a << 32 | b)[150_000:], text[150_000:], 2_000)
+        return block
+
+    monkeypatch.setattr(al, "LINKS_TOGETHER", 20_000)
+    have, pairs = Counter(), []
+    for maps in made().bitmaps():
+        pair, plane, n = (maps[c].to_numpy() for c in ("pair", "plane", "n_docs"))
+        places, owner = al._unpacked(maps["docs"], n, 2_000)
+        for p, t, k in zip(pair[owner].tolist(), places.tolist(), plane[owner].tolist()):
+            have[p, t] += 1 << max(k - 1, 0)
+        pairs.append(set(pair.tolist()))
+    assert have == want and len(pairs) > 10
+    assert sum(map(len, pairs)) == len(set.union(*pairs))
+    block = made()
+    tracemalloc.start()
+    try:
+        for _ in block.bitmaps():
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 16 * len(text)  # the links sorted, and a part
+    finally:
+        tracemalloc.stop()
+
