@@ -12,8 +12,8 @@ BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def lighter_batches(spark: SparkSession) -> None:
-    """Texts go to Python 16 MB at a time: executor and worker hold each batch, besides what earlier stages left them."""
-    spark.conf.set(BATCH_CONF, str(16 << 20))
+    """Texts go to Python 2 MB at a time: executor and worker hold each batch, besides what earlier stages left them."""
+    spark.conf.set(BATCH_CONF, str(2 << 20))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

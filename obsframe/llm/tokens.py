@@ -67,9 +67,9 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, dtype=bool)
         self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(self.END)]] = True
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
         self.values, self.stops = np.zeros(0, self.dtype), np.zeros(1, np.int64)
 
@@ -112,7 +112,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and each text's number of ids. ``texts`` are strings without nulls."""
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self.forget()
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         words, which = coded.dictionary, coded.indices.to_numpy()
@@ -260,7 +260,8 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             for some in _together(batch):
                 counts = encoder(path).encode(some.column("text"))[1]
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(counts + 1, pa.int64())], ["doc_id", "n_tokens"])
-        pa.default_memory_pool().release_unused()  # the worker lives on with its words alone
+        encoder(path).forget()  # the worker lives on in stages that need the room
+        pa.default_memory_pool().release_unused()
 
     kept = docs.select("doc_id", F.make_valid_utf8(text_of()).alias("text"))
     return kept.mapInArrow(run, T.StructType([kept.schema["doc_id"], T.StructField("n_tokens", T.LongType())]))

@@ -114,3 +114,23 @@ def test_odd_items_in_blocks(spark):
     assert packing.pack(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         packing.pack(df, ())
+
+
+def test_workers_forget_the_words_they_counted(spark, tmp_path):
+    """Workers live on in other stages: what counting tokens remembers goes with its task."""
+    import shutil
+
+    from obsframe.llm import tokens
+
+    path = shutil.copy(tokens.default_tokenizer(), tmp_path / "own.json")
+    docs = spark.createDataFrame([(i, f"word{i} another{i} third") for i in range(400)], "doc_id long, text string")
+    assert tokens.token_counts(docs, str(path)).count() == 400
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            known = [len(e.known) for p, e in tokens._encoders.items() if p == str(path)]
+            yield pa.RecordBatch.from_pydict({"n": pa.array(known or [0], pa.int64())})
+
+    assert spark.range(64).repartition(16).mapInArrow(held, "n long").agg({"n": "max"}).first()[0] <= 1

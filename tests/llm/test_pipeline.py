@@ -94,3 +94,14 @@ def test_texts_go_to_python_in_light_batches(spark):
         assert size.agg({"n": "max"}).first()[0] < 20 << 20
     finally:
         spark.conf.set(pipeline.BATCH_CONF, before)
+
+
+def test_batches_to_python_hold_little_of_the_texts(spark):
+    docs = spark.createDataFrame([(i, "some words " * 50_000) for i in range(40)], "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(pipeline.BATCH_CONF)
+    try:
+        pipeline.lighter_batches(spark)
+        size = docs.mapInArrow(lambda batches: (b.slice(0, 1).set_column(1, "n", [b.column("text").nbytes]) for b in batches), "doc_id long, n long")
+        assert size.agg({"n": "max"}).first()[0] < 5 << 20
+    finally:
+        spark.conf.set(pipeline.BATCH_CONF, before)
