@@ -79,3 +79,44 @@ def test_large_keys_do_not_move(spark, monkeypatch, values, tmp_path):
     rows_read = [p for p in plans if "FileScan" in p]
     lines = [line.strip() for p in rows_read for line in p.splitlines()]
     assert rows_read and not [line for line in lines if re.match(r"[:+\- ]*(Sort \[|Exchange (hash|range))", line)]
+
+
+@pytest.mark.parametrize("entries", [4096, 16])
+def test_summaries_as_numpy(spark, monkeypatch, values, entries):
+    """Values from summaries, however rough these are; whole ones take a scan."""
+    pdf, df = values
+    for name, size in (("SUMMARY", entries), ("MERGED", entries), ("FOLD_ROWS", 4 * entries)):
+        monkeypatch.setattr(O, name, size)
+    scans = []
+    summaries = O.summaries
+    monkeypatch.setattr(O, "summaries", lambda *a: scans.append(1) or summaries(*a))
+    asked = {f"{c}{q}": (c, q) for c in "xyz" for q in (0.0, 0.25, 0.5, 0.9, 1.0)}
+    wanted = {name: (c, O.at_share(q)) for name, (c, q) in asked.items()}
+    got = O.summarised_statistics(df, ["k"], df.select("k").distinct(), wanted).collect()
+    assert len(got) == 3 and (len(scans) == 1 if entries == 4096 else 1 < len(scans) < 12)
+    for row in got:
+        part = pdf[pdf.k.isna()] if row.k is None else pdf[pdf.k == row.k]
+        for name, (c, q) in asked.items():
+            assert row[name] == pytest.approx(np.nanquantile(part[c], q), rel=1e-12)
+
+
+def test_summaries_order_as_spark(spark):
+    rows = [("a", v) for v in (float("nan"), float("inf"), -1.5, -0.0, 0.0, 2.0, None, float("-inf"), 3.0)] + [("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    wanted = {f"r{i}": ("v", lambda n, i=i: n - n + i) for i in range(8)}
+    got = {r.k: r for r in O.summarised_statistics(df, ["k"], df.select("k").distinct(), wanted).collect()}
+    want = [r.v for r in df.where("k = 'a' and v is not null").orderBy("v").collect()]
+    np.testing.assert_array_equal([got["a"][f"r{i}"] for i in range(8)], want)
+    assert got["b"].r0 is None
+    none = O.summarised_statistics(df.limit(0), ["k"], df.select("k").distinct(), wanted)
+    assert none.columns == ["k", *wanted] and none.collect() == []
+
+
+def test_one_heavy_value_hides_no_others(spark, monkeypatch):
+    for name, size in (("SUMMARY", 32), ("MERGED", 32), ("FOLD_ROWS", 200)):
+        monkeypatch.setattr(O, name, size)
+    v = np.concatenate([np.full(9_000, 5.0), np.arange(1_000) / 1_000, 6 + np.arange(1_000) / 1_000])
+    df = spark.createDataFrame(pd.DataFrame({"v": np.random.default_rng(2).permutation(v)})).repartition(3)
+    qs = (0.001, 0.05, 0.0909, 0.5, 0.93, 0.999)
+    got = O.summarised_statistics(df, [], df, {str(q): ("v", O.at_share(q)) for q in qs}).first()
+    assert [got[str(q)] for q in qs] == pytest.approx([np.quantile(v, q) for q in qs], rel=1e-12)
